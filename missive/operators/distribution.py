@@ -1,9 +1,10 @@
-"""Exact order statistics and running totals without a single-task sort.
+"""Exact order statistics and running totals without an unbounded single-task sort.
 
-A window over the whole table runs in one task.  Here the sorted axis is cut into ranges at approximate quantiles
-of the distinct values, the totals per range (a few hundred rows) give every range its starting offset, and the
-running sum inside a range is a window partitioned by range.  The cut points only balance the work; the results
-do not depend on them.
+The input is first folded to one row per distinct value and materialised, so the rows behind it are read once.
+Up to ``SORT_IN_ONE_TASK`` distinct values are a plain window.  Beyond that the axis is cut into ranges at
+approximate quantiles of the distinct values; the totals per range (a few hundred rows) give every range its starting
+offset, and the running sum inside a range is a window partitioned by range.  The cut points only balance the
+work; the results do not depend on them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import shuffle_width
+from ..session import checkpoint, shuffle_width
+
+
+SORT_IN_ONE_TASK = 200_000
 
 
 def running_totals(
@@ -23,24 +27,36 @@ def running_totals(
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    ranges: int | None = None,
+    in_one_task: int = SORT_IN_ONE_TASK,
 ) -> DataFrame:
     """Add ``cum_<c>`` (running total including this point) and ``total_<c>`` for every column in ``sums``.
 
     ``points`` holds one row per (by, value), so a hot value is one row.  Rows with a null value are left out.
     """
     by = list(by)
-    ranges = ranges or max(shuffle_width(points), 2)
-    points = points.where(F.col(value).isNotNull())
-    cuts = points.agg(
-        F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 100 * ranges)
-    ).scalar()
-    placed = points.withColumn("_range", F.size(F.filter(cuts, lambda cut: cut < F.col(value))))
+    points = checkpoint(points.where(F.col(value).isNotNull()))
+    ranges = max(shuffle_width(points), 2)
+    steps = [i / ranges for i in range(1, ranges)]
+    size = points.agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(value, steps, 100 * ranges).alias("cuts")
+    ).first()
 
+    groups = [F.col(c) for c in by] or [F.lit(0)]
     step = F.desc if descending else F.asc
+    up_to_here = (W.unboundedPreceding, W.currentRow)
+    if size.n <= in_one_task:
+        whole = W.partitionBy(*groups)
+        along = whole.orderBy(step(value)).rowsBetween(*up_to_here)
+        return points.select(
+            "*",
+            *[F.sum(c).over(along).alias(f"cum_{c}") for c in sums],
+            *[F.sum(c).over(whole).alias(f"total_{c}") for c in sums],
+        )
+
+    cuts = F.lit(sorted(set(size.cuts)))
+    placed = points.withColumn("_range", F.size(F.filter(cuts, lambda cut: cut < F.col(value))))
     per_range = placed.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_in_{c}") for c in sums])
     # at most `ranges` rows per group reach these two windows
-    groups = [F.col(c) for c in by] or [F.lit(0)]
     whole = W.partitionBy(*groups)
     before = whole.orderBy(step("_range")).rowsBetween(W.unboundedPreceding, -1)
     offsets = per_range.select(
@@ -49,7 +65,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_in_{c}").over(whole).alias(f"total_{c}") for c in sums],
     )
-    inside = W.partitionBy(*by, "_range").orderBy(step(value)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy(*by, "_range").orderBy(step(value)).rowsBetween(*up_to_here)
     joined = placed.join(offsets, [*by, "_range"])
     for c in sums:
         joined = joined.withColumn(f"cum_{c}", F.sum(c).over(inside) + F.col(f"_before_{c}"))

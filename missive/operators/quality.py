@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from ..functions import text as T
 from ..functions.scoring import LABEL_CODES
+from ..session import checkpoint
 from .distribution import percentiles
 
 VALID_LABELS = tuple(LABEL_CODES)
@@ -122,7 +123,7 @@ def length_stats(df: DataFrame, text_col: str = "message", by: Sequence[str] = (
         T.word_count(F.col(text_col)).alias("word_count"),
     )
     # one row per distinct pair of lengths carries everything the statistics need
-    pairs = counted.groupBy(*by, "char_count", "word_count").agg(F.count(F.lit(1)).alias("n"))
+    pairs = checkpoint(counted.groupBy(*by, "char_count", "word_count").agg(F.count(F.lit(1)).alias("n")))
     aggs = []
     for unit in ("char", "word"):
         value = F.col(f"{unit}_count").cast("double")

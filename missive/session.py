@@ -14,6 +14,7 @@ def build_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
         .appName("missive")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():
@@ -36,3 +37,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def shuffle_width(df: DataFrame) -> int:
     """Number of shuffle partitions the session is set up for."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def freeze(df: DataFrame, max_rows: int) -> DataFrame:
+    """Run ``df`` and return its rows as a local table, for fitted state of a proven size only.
+
+    Raises when there are more than ``max_rows`` rows, rather than pulling an unbounded table to the driver.
+    """
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows:
+        raise ValueError(f"Fitted state has more than {max_rows} rows")
+    return df.sparkSession.createDataFrame(table, df.schema)
