@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scoring import sigmoid
-from ..session import freeze
+from ..session import bounded, freeze
 
 MODELS = ("BernoulliNB", "DummyClassifier", "GaussianNB", "MultinomialNB", "NearestCentroid")
 
@@ -98,7 +100,7 @@ class ClosedFormModel:
         joined = features.select(self.id_col, self.key, "weight").join(F.broadcast(self.params), self.key)
         totals = joined.groupBy(self.id_col).agg(*[F.sum(sums[c]).alias(c) for c in needed])
         rows = documents.join(totals, self.id_col, "left").na.fill(0.0, needed)
-        b = self.base.select(F.struct("*")).scalar()
+        b = {c: F.lit(v) for c, v in self.base.first().asDict().items()}  # one row of class constants
 
         def margin(total: str, constant: str) -> Column:
             return F.col(total) + b[constant] + b["prior"]
@@ -150,46 +152,37 @@ def fit(
     ``features`` is (id, y, key, weight), ``documents`` (id, y) has every training message.  The sums per feature
     are the fitted state and are kept as a local table of at most ``MAX_KEYS`` rows.
     """
-    sums = freeze(moments(features, key, y_col, keys), MAX_KEYS)
-    sizes = documents.agg(
-        F.count_if(F.col(y_col) == 1).cast("double").alias("n1"),
-        F.count_if(F.col(y_col) == 0).cast("double").alias("n0"),
-    )
-    size = freeze(sizes, 1).first()
+    sums = bounded(moments(features, key, y_col, keys), MAX_KEYS).to_pandas()
+    sizes = documents.agg(F.count_if(F.col(y_col) == 1).alias("n1"), F.count_if(F.col(y_col) == 0).alias("n0"))
+    size = sizes.first()
     if not size.n1 or not size.n0:
         raise ValueError("Both classes must occur in the training rows")
-    n = {1: F.lit(size.n1), 0: F.lit(size.n0)}
-    both = F.lit(size.n1 + size.n0)
-
-    mean = (F.col("s1") + F.col("s0")) / both
-    overall = sums.agg(
-        F.sum("s1").alias("s1"),
-        F.sum("s0").alias("s0"),
-        F.count(F.lit(1)).cast("double").alias("k"),
-        F.max((F.col("q1") + F.col("q0")) / both - mean * mean).alias("variance"),
-    ).first()
-    mass = {1: F.lit(overall.s1), 0: F.lit(overall.s0)}
-    floor = F.lit(VARIANCE_SMOOTHING * overall.variance)
-
-    held = {c: (F.col(f"n{c}") + SMOOTHING) / (n[c] + 2 * SMOOTHING) for c in (1, 0)}
-    share = {c: (F.col(f"s{c}") + SMOOTHING) / (mass[c] + SMOOTHING * overall.k) for c in (1, 0)}
-    mu = {c: F.col(f"s{c}") / n[c] for c in (1, 0)}
-    var = {c: F.greatest(F.col(f"q{c}") / n[c] - mu[c] * mu[c], F.lit(0.0)) + floor for c in (1, 0)}
-    params = sums.select(
-        key,
-        (F.log(held[1] / (1 - held[1])) - F.log(held[0] / (1 - held[0]))).alias("bernoulli"),
-        (F.log(1 - held[1]) - F.log(1 - held[0])).alias("absent"),
-        (F.log(share[1]) - F.log(share[0])).alias("multinomial"),
-        *[mu[c].alias(f"mu{c}") for c in (1, 0)],
-        *[var[c].alias(f"v{c}") for c in (1, 0)],
-    )
-    nothing = {c: _log_normal(F.lit(0.0), F.col(f"mu{c}"), F.col(f"v{c}")) for c in (1, 0)}
-    base = params.agg(
-        F.sum("absent").alias("bern0"),
-        F.sum(nothing[1] - nothing[0]).alias("gauss0"),
-        F.lit(0.0).alias("zero"),
-        *[F.sum(F.col(f"mu{c}") * F.col(f"mu{c}")).alias(f"norm{c}") for c in (1, 0)],
-        F.log(n[1] / n[0]).alias("prior"),
-        (n[1] / both).alias("share1"),
+    n = {1: float(size.n1), 0: float(size.n0)}
+    both = n[1] + n[0]
+
+    mean = (sums.s1 + sums.s0) / both
+    floor = VARIANCE_SMOOTHING * ((sums.q1 + sums.q0) / both - mean * mean).max()
+    table = pd.DataFrame({key: sums[key]})
+    held, share, absent_log_density = {}, {}, {}
+    for c in (1, 0):
+        held[c] = (sums[f"n{c}"] + SMOOTHING) / (n[c] + 2 * SMOOTHING)
+        share[c] = (sums[f"s{c}"] + SMOOTHING) / (sums[f"s{c}"].sum() + SMOOTHING * len(sums))
+        mu = sums[f"s{c}"] / n[c]
+        table[f"mu{c}"] = mu
+        table[f"v{c}"] = (sums[f"q{c}"] / n[c] - mu * mu).clip(lower=0.0) + floor
+        absent_log_density[c] = -0.5 * (np.log(table[f"v{c}"]) + mu * mu / table[f"v{c}"])
+    table["bernoulli"] = np.log(held[1] / (1 - held[1])) - np.log(held[0] / (1 - held[0]))
+    table["multinomial"] = np.log(share[1]) - np.log(share[0])
+    base = pd.DataFrame(
+        {
+            "bern0": [(np.log(1 - held[1]) - np.log(1 - held[0])).sum()],
+            "gauss0": [(absent_log_density[1] - absent_log_density[0]).sum()],
+            "zero": [0.0],
+            "norm1": [(table.mu1 * table.mu1).sum()],
+            "norm0": [(table.mu0 * table.mu0).sum()],
+            "prior": [np.log(n[1] / n[0])],
+            "share1": [n[1] / both],
+        }
     )
-    return ClosedFormModel(params, freeze(base, 1), key, id_col)
+    spark = features.sparkSession
+    return ClosedFormModel(spark.createDataFrame(table), spark.createDataFrame(base), key, id_col)

@@ -11,6 +11,7 @@ from pyspark.sql import types as t
 from pyspark.sql import Window as W
 
 from ..functions.text import hash_bucket, tokens
+from ..session import shuffle_width
 
 # Default settings of the encoder.
 BATCH_SIZE = 32
@@ -29,7 +30,7 @@ def hash_weights(
     One shuffle of the text by id; counting and scaling keep that partitioning.  A token is hashed once per
     message it occurs in.
     """
-    words = df.select(id_col, *keep, tokens(F.col(text_col)).alias("_words")).repartition(id_col)
+    words = df.select(id_col, *keep, tokens(F.col(text_col)).alias("_words")).repartition(shuffle_width(df), id_col)
     found = words.select(id_col, *keep, F.explode("_words").alias("token"))
     counts = found.groupBy(id_col, *keep, "token").agg(F.count(F.lit(1)).alias("_tf"))
     buckets = counts.groupBy(id_col, *keep, hash_bucket(F.col("token"), dim).alias("idx")).agg(

@@ -30,6 +30,9 @@ from ..functions.text import hash_key
 
 METRICS = ("l2", "cosine")
 
+# Covers the rounding of matrix products; a larger value only visits more cells and rechecks more pairs.
+SLACK = 1e-6
+
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
@@ -110,6 +113,30 @@ def nearest(
     return collection.join(F.broadcast(ranked), id_col).orderBy("distance", id_col)
 
 
+def _match(asked: pd.DataFrame, offered: pd.DataFrame, k: int, metric: str) -> pd.DataFrame:
+    """(query_id, id, distance): the k nearest of the offered rows for each asking row.
+
+    A matrix product finds the rows near the k-th distance; their distances are then computed pair by pair.
+    """
+    q, x = _matrix(asked["vec"]), _matrix(offered["vec"])
+    ids, query_ids = offered["id"].to_numpy(), asked["query_id"].to_numpy()
+    qs, xs = _search_form(q, metric, 1), _search_form(x, metric, 0)
+    kth = min(k, len(x)) - 1
+    parts = []
+    for start in range(0, len(q), 512):
+        rough = _squared(qs[start : start + 512], xs)
+        edge = np.partition(rough, kth, axis=1)[:, kth]
+        row, column = np.nonzero(rough <= (edge * (1 + SLACK) + SLACK)[:, None])
+        row = row + start
+        distance = _pair_distances(q, x, row, column, metric)
+        found = pd.DataFrame({"query": row, "id": ids[column], "distance": distance})
+        found = found.sort_values(["query", "distance", "id"], kind="stable")
+        parts.append(found.groupby("query", sort=False).head(k))
+    best = pd.concat(parts, ignore_index=True)
+    best.insert(0, "query_id", query_ids[best["query"].to_numpy()])
+    return best[["query_id", "id", "distance"]]
+
+
 def _check_metric(metric: str) -> None:
     if metric not in METRICS:
         raise ValueError(f"Unknown metric: {metric}. Expected one of {METRICS}.")
@@ -143,9 +170,24 @@ def knn_join(
         ]
     )
 
+    best = W.partitionBy("query_id").orderBy("distance", "id")
+
+    def merged(partial: DataFrame) -> DataFrame:
+        return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    few = items.limit(block_rows + 1).toPandas()
+    if len(few) <= block_rows:
+        # the whole collection is one block: it travels to the queries, which are not shuffled
+        offered = few if len(few) else None
+
+        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if offered is not None and len(batch):
+                    yield _match(batch, offered, k, metric)
+
+        return merged(asks.mapInPandas(scan, result_schema))
+
     n_items = items.count()
-    if n_items == 0:
-        return queries.sparkSession.createDataFrame([], result_schema).withColumn("rank", F.lit(0))
     wanted = max(1, min(max_pivots, n_items // block_rows))
     picked = items.orderBy(hash_key(F.col("id"), 0), "id").limit(wanted).select("vec").collect()
     pivots = np.unique(_search_form(_matrix(pd.Series([r.vec for r in picked])), metric, 0), axis=0)
@@ -189,7 +231,6 @@ def knn_join(
     near, far = np.array([r.near for r in summary]), np.array([r.far for r in summary])
     known = [np.array(r.close) for r in summary]
     home = pivots[cells]
-    slack = 1e-6  # covers the rounding of the matrix products; a larger value only visits more cells
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -200,7 +241,7 @@ def knn_join(
             kth = min(k, bounds.shape[1]) - 1
             reach = np.partition(bounds, kth, axis=1)[:, kth]
             floor = np.maximum(np.maximum(d - far[None, :], near[None, :] - d), 0.0)
-            row, column = np.nonzero(floor <= (reach * (1 + slack) + slack)[:, None])
+            row, column = np.nonzero(floor <= (reach * (1 + SLACK) + SLACK)[:, None])
             yield batch.iloc[row].assign(cell=cells[column].astype(np.int32))
 
     routed = asks.mapInPandas(
@@ -234,28 +275,10 @@ def knn_join(
     )
 
     def match(asked: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "id": [], "distance": []})
         if not len(asked) or not len(offered):
-            return empty
-        q, x = _matrix(asked["vec"]), _matrix(offered["vec"])
-        ids, query_ids = offered["id"].to_numpy(), asked["query_id"].to_numpy()
-        qs, xs = _search_form(q, metric, 1), _search_form(x, metric, 0)
-        kth = min(k, len(x)) - 1
-        parts = []
-        for start in range(0, len(q), 512):
-            rough = _squared(qs[start : start + 512], xs)
-            edge = np.partition(rough, kth, axis=1)[:, kth]
-            row, column = np.nonzero(rough <= (edge * (1 + slack) + slack)[:, None])
-            row = row + start
-            distance = _pair_distances(q, x, row, column, metric)
-            found = pd.DataFrame({"query": row, "id": ids[column], "distance": distance})
-            found = found.sort_values(["query", "distance", "id"], kind="stable")
-            parts.append(found.groupby("query", sort=False).head(k))
-        best = pd.concat(parts, ignore_index=True)
-        best.insert(0, "query_id", query_ids[best["query"].to_numpy()])
-        return best[["query_id", "id", "distance"]]
+            return pd.DataFrame({"query_id": [], "id": [], "distance": []})
+        return _match(asked, offered, k, metric)
 
     keys = ["cell", "item_block", "query_block"]
     partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(match, result_schema)
-    best = W.partitionBy("query_id").orderBy("distance", "id")
-    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return merged(partial)

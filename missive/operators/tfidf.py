@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import ngrams, tokens
+from ..session import shuffle_width
 
 # Default settings of the featurizer.
 MAX_FEATURES = 3000
@@ -33,7 +34,8 @@ def term_counts(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(id, *keep, term, tf).  ``keep`` names columns that depend on the id, such as the split."""
-    words = df.select(id_col, *keep, tokens(F.col(text_col)).alias("_words")).repartition(id_col)
+    # a fixed width: exploding multiplies the rows, which size-based coalescing of the words cannot know
+    words = df.select(id_col, *keep, tokens(F.col(text_col)).alias("_words")).repartition(shuffle_width(df), id_col)
     terms = words.select(id_col, *keep, F.explode(ngrams(F.col("_words"), *ngram_range)).alias("term"))
     return terms.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 

@@ -64,7 +64,7 @@ def _text_board(p: Prepared) -> DataFrame:
 
 def neighbor_votes(p: Prepared, dim: int = DIM, k: int = K_NEIGHBORS) -> DataFrame:
     """(model, msg_id, y, p, pred): share of spam among the k nearest training vectors."""
-    test, train = p.embedded("test", dim), p.embedded("train", dim)
+    test, train = (checkpoint(p.embedded(s, dim)) for s in ("test", "train"))
     near = neighbors.knn_join(test, train, k, query_id="msg_id", id_col="msg_id")
     truth = p.documents("train").select(F.col("msg_id").alias("id"), F.col("y").alias("_vote"))
     votes = near.join(truth, "id").groupBy(F.col("query_id").alias("msg_id")).agg(F.avg("_vote").alias("p"))

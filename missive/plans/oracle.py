@@ -424,13 +424,13 @@ for _metric, _score in {
         *SCORED,
         CURVE,
         select=f"""SELECT round(coalesce(threshold, 0.5), 6) AS threshold, round(score, 6) AS score
-FROM (SELECT threshold, {_score} AS score FROM curve) ORDER BY score DESC, threshold NULLS LAST LIMIT 1""",
+FROM (SELECT threshold, {_score} AS score FROM curve) c ORDER BY c.score DESC, c.threshold NULLS LAST LIMIT 1""",
     )
 ORACLE["high_recall_threshold"] = _with(
     *SCORED,
     CURVE,
     select="""SELECT round(coalesce(threshold, 0.0), 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall
-FROM curve WHERE recall >= 1.0 ORDER BY precision DESC, threshold NULLS LAST LIMIT 1""",
+FROM curve c WHERE c.recall >= 1.0 ORDER BY c.precision DESC, c.threshold NULLS LAST LIMIT 1""",
 )
 ORACLE["cascade_thresholds"] = _with(
     *STAGE1,
@@ -443,8 +443,8 @@ ORACLE["cascade_thresholds_target"] = _with(
     *TRAIN_SCORED,
     CURVE,
     """edge AS (
-  SELECT coalesce(threshold, 0.0) AS edge FROM curve WHERE recall >= 1.0
-  ORDER BY precision DESC, threshold NULLS LAST LIMIT 1)""",
+  SELECT coalesce(threshold, 0.0) AS edge FROM curve c WHERE c.recall >= 1.0
+  ORDER BY c.precision DESC, c.threshold NULLS LAST LIMIT 1)""",
     "lows AS (SELECT coalesce(max(p) FILTER (p < edge), -1.0) AS low FROM scored, edge)",
     """tried AS (
   SELECT c.p AS high, (SELECT count(*) FROM scored s, lows l WHERE s.p > l.low AND s.p < c.p) AS undecided

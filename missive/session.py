@@ -39,12 +39,17 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def freeze(df: DataFrame, max_rows: int) -> DataFrame:
-    """Run ``df`` and return its rows as a local table, for fitted state of a proven size only.
+def bounded(df: DataFrame, max_rows: int):
+    """The rows of ``df`` as an Arrow table, for fitted state of a proven size only.
 
     Raises when there are more than ``max_rows`` rows, rather than pulling an unbounded table to the driver.
     """
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows > max_rows:
         raise ValueError(f"Fitted state has more than {max_rows} rows")
-    return df.sparkSession.createDataFrame(table, df.schema)
+    return table
+
+
+def freeze(df: DataFrame, max_rows: int) -> DataFrame:
+    """Run ``df`` and return its bounded rows as a local table."""
+    return df.sparkSession.createDataFrame(bounded(df, max_rows), df.schema)
