@@ -13,12 +13,15 @@ from pyspark.sql import types as t
 
 from ..functions import scoring as S
 from ..functions import text as T
+from ..models.classifier import EmbeddingClassifier, TextClassifier
+from ..models.search import RandomSearch
 from ..operators import cascade, embedding, metrics, neighbors, quality, splits, tfidf, thresholds
 from ..session import checkpoint
 from ..sources.collection import VectorCollection, build_collection
 from ..sources.messages import from_tables, load_processed, save_processed
 from ..sources.tables import scratch_path
 from . import leaderboard as boards
+from .comparison import fit_and_rank
 from .prepare import Prepared, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -483,4 +486,89 @@ def final_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.evaluate(stacked))
 
 
+# --- fitted by Spark ML: rows only ---------------------------------------------------------------------------
+
+TEXT_FAMILIES = (
+    "LogisticRegression",
+    "LinearSVC",
+    "RidgeClassifier",
+    "DecisionTreeClassifier",
+    "RandomForestClassifier",
+    "ExtraTreesClassifier",
+    "GradientBoostingClassifier",
+    "MultinomialNB",
+    "NearestCentroid",
+    "DummyClassifier",
+)
+EMBEDDING_FAMILIES = (
+    "LogisticRegression",
+    "LinearSVC",
+    "SGDClassifier",
+    "RidgeClassifier",
+    "RidgeClassifierCV",
+    "DecisionTreeClassifier",
+    "RandomForestClassifier",
+    "ExtraTreesClassifier",
+    "ExtraTreeClassifier",
+    "BaggingClassifier",
+    "GradientBoostingClassifier",
+    "LGBMClassifier",
+    "AdaBoostClassifier",
+    "LinearDiscriminantAnalysis",
+    "QuadraticDiscriminantAnalysis",
+    "CalibratedClassifierCV",
+    "SVC",
+    "KNeighborsClassifier",
+    "LabelPropagation",
+    "LabelSpreading",
+    "BernoulliNB",
+    "GaussianNB",
+    "NearestCentroid",
+    "DummyClassifier",
+)
+
+
+@query
+def score_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Balanced logistic regression over TF-IDF: test scores."""
+    features = Prepared.of(labelled(spark, folder)).tfidf()
+    model = TextClassifier().fit(checkpoint(features.vectors("train")))
+    return rounded(model.score(features.vectors("test")).select("msg_id", "y", "p", "pred"))
+
+
+@query
+def score_embedding(spark: SparkSession, folder: str) -> DataFrame:
+    """Balanced logistic regression over embeddings: test scores."""
+    p = Prepared.of(labelled(spark, folder))
+    model = EmbeddingClassifier().fit(checkpoint(p.embedded("train", DIM)))
+    return rounded(model.score(p.embedded("test", DIM)).select("msg_id", "y", "p", "pred"))
+
+
+@query
+def leaderboard_ml(spark: SparkSession, folder: str) -> DataFrame:
+    features = Prepared.of(labelled(spark, folder)).tfidf()
+    return fit_and_rank(features.vectors("train"), features.vectors("test"), TEXT_FAMILIES)[0]
+
+
+def _embedding_vectors(p: Prepared, split: str) -> DataFrame:
+    return EmbeddingClassifier().prepare(p.embedded(split, DIM))
+
+
+@query
+def leaderboard_embedding_ml(spark: SparkSession, folder: str) -> DataFrame:
+    p = Prepared.of(labelled(spark, folder))
+    train, test = (_embedding_vectors(p, s) for s in ("train", "test"))
+    return fit_and_rank(train, test, EMBEDDING_FAMILIES, EmbeddingClassifier.columns())[0]
+
+
+@query
+def search_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Logistic regression over embeddings: five trials on three folds, by recall."""
+    p = Prepared.of(labelled(spark, folder))
+    search = RandomSearch("LogisticRegression", n_trials=5, columns=EmbeddingClassifier.columns())
+    search.optimize(_embedding_vectors(p, "train"), cv=3)
+    trials = search.results(spark)
+    return rounded(trials.select("trial", F.to_json("params").alias("params"), "score"))
+
+
 QUERIES["metrics"] = QUERIES.pop("metrics_row")
