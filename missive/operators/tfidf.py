@@ -82,7 +82,8 @@ def transform(
     """(id, *keep, term, idx, tf, weight), each document scaled to unit length.  Unknown terms vanish."""
     tf = F.col("tf").cast("double")
     raw = (1 + F.log(tf) if sublinear_tf else tf) * F.col("idf")
-    known = counts.join(vocab.select("term", "idx", "idf"), "term").withColumn("_raw", raw)
+    # the vocabulary has at most max_features rows, checked when it is fitted
+    known = counts.join(F.broadcast(vocab.select("term", "idx", "idf")), "term").withColumn("_raw", raw)
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(W.partitionBy(id_col)))
     return known.select(id_col, *keep, "term", "idx", "tf", (F.col("_raw") / norm).alias("weight"))
 
