@@ -16,9 +16,12 @@ def clean_text(text: Column) -> Column:
     """Lower-case, drop URLs, keep ASCII letters and digits, single spaces, no outer spaces.
 
     After lower-casing, every character that is not ``[a-z0-9]`` becomes part of a separator run, so character
-    removal and whitespace collapsing are one regular-expression pass.
+    removal and whitespace collapsing are one regular-expression pass.  The URL pass is left out where a text
+    cannot hold one.
     """
-    no_urls = F.regexp_replace(F.lower(text), URL, "")
+    lower = F.lower(text)
+    may_hold_url = F.contains(lower, F.lit("http")) | F.contains(lower, F.lit("www."))
+    no_urls = F.when(may_hold_url, F.regexp_replace(lower, URL, "")).otherwise(lower)
     return F.trim(F.regexp_replace(no_urls, "[^a-z0-9]+", " "))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from ..functions import text as T
 from ..functions.scoring import LABEL_CODES
-from ..session import checkpoint
+from ..session import checkpoint, shuffle_width
 from .distribution import percentiles
 
 VALID_LABELS = tuple(LABEL_CODES)
@@ -25,14 +25,18 @@ def drop_missing(df: DataFrame, columns: Sequence[str] = ("message", "label")) -
     return df.na.drop(subset=list(columns))
 
 
-def deduplicate(df: DataFrame, key: str = "message", id_col: str = "msg_id") -> DataFrame:
+def deduplicate(
+    df: DataFrame, key: str = "message", id_col: str = "msg_id", colocate: bool = False
+) -> DataFrame:
     """Keep the row with the smallest id of every distinct ``key``; the other columns are not in the key.
 
     Only (digest, id) pairs are shuffled for the grouping, and partial aggregation folds a hot text into one pair
     per task before the shuffle.  The surviving ids then select the rows through a semi join on the unique id.
+    ``colocate`` partitions the rows by id, which a join that shuffles needs anyway and later steps can build on.
     """
     kept = df.groupBy(_digest(key).alias("_digest")).agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(kept, id_col, "left_semi")
+    rows = df.repartition(shuffle_width(df), id_col) if colocate else df
+    return rows.join(kept, id_col, "left_semi")
 
 
 def invalid_labels(df: DataFrame, valid: Sequence[str] = VALID_LABELS, label_col: str = "label") -> DataFrame:
@@ -47,10 +51,12 @@ def check_labels(df: DataFrame, valid: Sequence[str] = VALID_LABELS, label_col:
         raise ValueError(f"Invalid labels found: {bad}. Expected one of {list(valid)}.")
 
 
-def validate(df: DataFrame, id_col: str = "msg_id", strict: bool = False) -> DataFrame:
+def validate(
+    df: DataFrame, id_col: str = "msg_id", strict: bool = False, colocate: bool = False
+) -> DataFrame:
     """Drop rows without message or label, then repeated messages; ``strict`` also checks the label set."""
     rows = drop_missing(df).withColumn("message", F.col("message").cast("string"))
-    rows = deduplicate(rows, "message", id_col)
+    rows = deduplicate(rows, "message", id_col, colocate)
     if strict:
         check_labels(rows)
     return rows

@@ -6,6 +6,7 @@ Doubles are rounded to six digits at the end, so that engines which add in anoth
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import types as t
 
 from ..functions import scoring as S
 from ..functions import text as T
+from ..models.closed_form import ClosedFormModel
 from ..models.classifier import EmbeddingClassifier, TextClassifier
 from ..models.search import RandomSearch
 from ..operators import cascade, embedding, metrics, neighbors, quality, splits, tfidf, thresholds
@@ -22,7 +24,7 @@ from ..sources.messages import from_tables, load_processed, save_processed
 from ..sources.tables import scratch_path
 from . import leaderboard as boards
 from .comparison import fit_and_rank
-from .prepare import Prepared, prepare
+from .prepare import Prepared, TextFeatures, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,33 +89,51 @@ def _embedding_board(p: Prepared) -> DataFrame:
     return closed.select(*order).unionByName(neighbor_votes(p).select(*order))
 
 
-def _stage1(p: Prepared, *parts: str) -> list[DataFrame]:
-    """(msg_id, y, p, pred) of the text model, per wanted split."""
-    features = p.tfidf()
-    model = features.fit()
-    return [model.score(features.weights(s), p.documents(s), STAGE1, DIGITS) for s in parts]
+class Stages:
+    """The two fitted stages over one prepared table; each is fitted once, when first asked for."""
 
+    def __init__(self, prepared: Prepared):
+        self.prepared = prepared
 
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    return _stage1(Prepared.of(labelled(spark, folder)), "test")[0]
+    @cached_property
+    def text(self) -> tuple[TextFeatures, ClosedFormModel]:
+        features = self.prepared.tfidf()
+        return features, features.fit()
+
+    @cached_property
+    def vector(self) -> ClosedFormModel:
+        return self.prepared.fit_embedding(DIM)
+
+    def stage1(self, split: str) -> DataFrame:
+        """(msg_id, y, p, pred) of the text model."""
+        features, model = self.text
+        return model.score(features.weights(split), self.prepared.documents(split), STAGE1, DIGITS)
+
+    def stage2(self, wanted: DataFrame) -> DataFrame:
+        """(msg_id, y, p, pred) of the embedding model for the wanted ids only; filtered before encoding."""
+        rows = self.prepared.rows.join(wanted.select("msg_id"), "msg_id", "left_semi")
+        weights = embedding.hash_weights(rows, DIM)
+        return self.vector.score(weights, rows.select("msg_id", "y"), STAGE2, DIGITS)
 
+    def cascade(self, test: DataFrame) -> DataFrame:
+        """Thresholds from the training scores, decisions on the scored test rows."""
+        tuned = thresholds.cascade_thresholds(self.stage1("train"), digits=DIGITS).first()  # one row
+        low, high = tuned.stage1_low_threshold, tuned.stage1_high_threshold
+        second = self.stage2(cascade.uncertain(test, low, high))
+        return cascade.cascade_rows(test, second, low, high, tuned.stage2_threshold)
 
-def _stage2(p: Prepared, wanted: DataFrame) -> DataFrame:
-    """(msg_id, y, p, pred) of the embedding model for the wanted ids only; filtered before encoding."""
-    rows = p.rows.join(wanted.select("msg_id"), "msg_id", "left_semi")
-    documents = rows.select("msg_id", "y")
-    weights = embedding.hash_weights(rows, DIM)
-    return p.fit_embedding(DIM).score(weights, documents, STAGE2, DIGITS)
+
+def _stage1(p: Prepared, split: str) -> DataFrame:
+    return Stages(p).stage1(split)
+
+
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    return _stage1(Prepared.of(labelled(spark, folder)), "test")
 
 
 def _cascade(p: Prepared) -> DataFrame:
-    """Thresholds from the training scores, decisions on the test rows."""
-    train, test = _stage1(p, "train", "test")
-    tuned = thresholds.cascade_thresholds(train, digits=DIGITS).first()  # one row
-    low, high = tuned.stage1_low_threshold, tuned.stage1_high_threshold
-    test = checkpoint(test)
-    second = _stage2(p, cascade.uncertain(test, low, high))
-    return cascade.cascade_rows(test, second, low, high, tuned.stage2_threshold)
+    stages = Stages(p)
+    return stages.cascade(checkpoint(stages.stage1("test")))
 
 
 # --- sources and validation ---------------------------------------------------------------------------------
@@ -418,13 +438,13 @@ def high_recall_threshold(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cascade_thresholds(spark: SparkSession, folder: str) -> DataFrame:
-    train = checkpoint(_stage1(Prepared.of(labelled(spark, folder)), "train")[0])
+    train = checkpoint(_stage1(Prepared.of(labelled(spark, folder)), "train"))
     return rounded(thresholds.cascade_thresholds(train, digits=DIGITS))
 
 
 @query
 def cascade_thresholds_target(spark: SparkSession, folder: str) -> DataFrame:
-    train = checkpoint(_stage1(Prepared.of(labelled(spark, folder)), "train")[0])
+    train = checkpoint(_stage1(Prepared.of(labelled(spark, folder)), "train"))
     return rounded(thresholds.cascade_thresholds_target(train))
 
 
@@ -476,14 +496,15 @@ def stage_metrics(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def final_comparison(spark: SparkSession, folder: str) -> DataFrame:
     p = Prepared.of(labelled(spark, folder))
+    stages = Stages(p)
+    text = checkpoint(stages.stage1("test"))
+    vector = checkpoint(stages.stage2(p.documents("test")))
+    routed = stages.cascade(text).withColumnRenamed("prediction", "pred")
     order = ["model", "msg_id", "y", "p", "pred"]
-    text = _named(_stage1(p, "test")[0], "Traditional-ML")
-    vector = _named(_stage2(p, p.documents("test")), "Embedding-ML")
-    routed = _named(_cascade(p).withColumnRenamed("prediction", "pred"), "HybridCascade")
-    stacked = checkpoint(
-        text.select(*order).unionByName(vector.select(*order)).unionByName(routed.select(*order))
-    )
-    return rounded(metrics.evaluate(stacked))
+    stacked = _named(text, "Traditional-ML").select(*order)
+    for part, name in ((vector, "Embedding-ML"), (routed, "HybridCascade")):
+        stacked = stacked.unionByName(_named(part, name).select(*order))
+    return rounded(metrics.evaluate(checkpoint(stacked)))
 
 
 # --- fitted by Spark ML: rows only ---------------------------------------------------------------------------

@@ -13,12 +13,17 @@ from ..operators import embedding, quality, splits, tfidf
 from ..session import checkpoint, freeze
 
 
-def prepare(messages: DataFrame, exact_split: bool = False, test_size: float = splits.TEST_SIZE) -> DataFrame:
+def prepare(
+    messages: DataFrame,
+    exact_split: bool = False,
+    test_size: float = splits.TEST_SIZE,
+    colocate: bool = False,
+) -> DataFrame:
     """(msg_id, label, message, message_clean, y, split): validated, cleaned, encoded and split.
 
     The hash split is the default as it needs no shuffle; the exact one keeps the class shares to the row.
     """
-    rows = quality.clean_messages(quality.validate(messages))
+    rows = quality.clean_messages(quality.validate(messages, colocate=colocate))
     rows = rows.withColumn("y", encode_label(F.col("label")))
     return splits.split_exact(rows, test_size) if exact_split else splits.split_hash(rows, test_size)
 
@@ -38,7 +43,8 @@ class Prepared:
 
     @classmethod
     def of(cls, messages: DataFrame, exact_split: bool = False) -> Prepared:
-        return cls(checkpoint(prepare(messages, exact_split).select("msg_id", "message_clean", "y", "split")))
+        rows = prepare(messages, exact_split, colocate=True)
+        return cls(checkpoint(rows.select("msg_id", "message_clean", "y", "split")))
 
     def documents(self, split: str) -> DataFrame:
         return part(self.rows, split).select("msg_id", "y")
