@@ -47,6 +47,8 @@ def _rates() -> dict[str, Column]:
         .when(tn + fp == 0, rates["recall"])
         .otherwise((rates["recall"] + rates["ham_recall"]) / 2)
     )
+    # the area under the ROC curve of hard labels; null where one class is missing
+    rates["hard_auc"] = F.when((tp + fn > 0) & (tn + fp > 0), rates["balanced_accuracy"])
     return rates
 
 

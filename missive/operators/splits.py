@@ -135,10 +135,13 @@ def sample_per_class(
 ) -> DataFrame:
     """``n`` seeded random rows of every class.
 
-    Each task keeps its own first ``n`` per class before the shuffle, so a class never gathers in one task.
+    Only ids are sorted, and each task keeps its own first ``n`` per class before the shuffle, so neither the texts
+    nor a class gather anywhere.
     """
     order = W.partitionBy(label_col).orderBy(hash_key(F.col(id_col), seed), id_col)
-    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    ranked = df.select(id_col, label_col).withColumn("rank", F.row_number().over(order))
+    picked = ranked.where(F.col("rank") <= n).select(id_col, "rank")
+    return df.join(F.broadcast(picked), id_col)  # n rows per class of a closed label set
 
 
 def class_weights(df: DataFrame, y_col: str = "y") -> DataFrame:
