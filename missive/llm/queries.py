@@ -8,13 +8,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, shards, simhash
+from . import decontam, digest, pieces, shards, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return digest.against_next(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.classes(table(spark, folder, "documents"))
     return found.select(
@@ -42,6 +46,18 @@ def op6_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_pieces(spark: SparkSession, folder: str, model_file: str = pieces.DEFAULT_MODEL) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    both = pieces.decode(pieces.encode(docs, model_file), model_file)
+    return both.select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        (F.col("decoded") == F.col("text")).alias("restored"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.scan(
         table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark")
@@ -57,8 +73,10 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprint": op1_fingerprint,
     "op3_simhash": op3_simhash,
     "op6_shards": op6_shards,
+    "op7_pieces": op7_pieces,
     "op8_decontamination": op8_decontamination,
 }
 
