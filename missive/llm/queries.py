@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, pieces, shards, simhash
+from . import decontam, digest, pieces, quality, shards, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,12 +72,18 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rated = quality.classify(table(spark, folder, "documents").select("doc_id", "text"))
+    return rated.select("doc_id", "votes", "posterior", "junk", (F.col("junk") <= quality.REJECT).alias("keep"))
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op3_simhash": op3_simhash,
     "op6_shards": op6_shards,
     "op7_pieces": op7_pieces,
     "op8_decontamination": op8_decontamination,
+    "op9_quality": op9_quality,
 }
 
 SQL: dict[str, str] = {}
