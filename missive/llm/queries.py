@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, pieces, quality, shards, simhash
+from . import decontam, digest, lines, pieces, quality, shards, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,20 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
+    cut = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.col("line_count").cast("bigint").alias("n_lines"),
+        lines.removed_lines().cast("bigint").alias("n_removed"),
+        F.size("removed_runs").cast("bigint").alias("n_runs"),
+        F.array_join(
+            F.transform("removed_runs", lambda r: F.concat_ws(":", r["start"], r["end"])), ","
+        ).alias("runs"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op6_shards(spark: SparkSession, folder: str) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     rows = table(spark, folder, "documents").select(
@@ -80,6 +94,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op3_simhash": op3_simhash,
+    "op5_lines": op5_lines,
     "op6_shards": op6_shards,
     "op7_pieces": op7_pieces,
     "op8_decontamination": op8_decontamination,
