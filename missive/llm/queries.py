@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, lines, pieces, quality, shards, simhash
+from . import decontam, digest, lines, pieces, pii, quality, shards, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,20 @@ def op1_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return digest.against_next(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.detect(table(spark, folder, "documents"))
+
+    def number(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[number(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+        F.sha2(pii.listed("base"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.classes(table(spark, folder, "documents"))
     return found.select(
@@ -93,6 +107,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
+    "op2_personal_data": op2_personal_data,
     "op3_simhash": op3_simhash,
     "op5_lines": op5_lines,
     "op6_shards": op6_shards,
