@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, lines, pieces, pii, quality, shards, simhash
+from . import decontam, digest, lines, pieces, pii, quality, secrets, shards, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -105,6 +105,18 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select("doc_id", "votes", "posterior", "junk", (F.col("junk") <= quality.REJECT).alias("keep"))
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("start").cast("bigint").alias("start"),
+        F.col("end").cast("bigint").alias("end"),
+        F.sha2("value", 256).alias("value_sha256"),
+        "chance",
+        "secret",
+    )
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_personal_data": op2_personal_data,
@@ -114,6 +126,7 @@ QUERIES = {
     "op7_pieces": op7_pieces,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }
 
 SQL: dict[str, str] = {}
