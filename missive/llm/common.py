@@ -61,6 +61,18 @@ def raw_texts(column: pa.Array) -> Iterator[bytes]:
         yield b"" if missing and missing[i] else bytes(view[ends[i] : ends[i + 1]])
 
 
+def in_parts(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with ``most`` bytes of text each, or one row: what a task holds at a time is bounded."""
+    sizes = batch.column(column).nbytes
+    rows = batch.num_rows
+    if rows < 2 or sizes <= most:
+        yield batch
+        return
+    half = rows // 2
+    yield from in_parts(batch.slice(0, half), column, most)
+    yield from in_parts(batch.slice(half), column, most)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected ``edges`` (a, b), as (node, root): root is the smallest node.
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import raw_texts
+from .common import in_parts, raw_texts
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pieces in a vocabulary that is sent to the workers.
@@ -197,8 +197,8 @@ def encode(
         model = shared.value
         memo = model.setdefault("memo", None) or Memo({k: v for k, v in model.items() if k != "memo"})
         model["memo"] = memo  # lives as long as the worker keeps the broadcast
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text_col))
+        for batch in (part for whole in batches for part in in_parts(whole, names.index(text_col))):
+            column = batch.column(names.index(text_col))
             rows = [encode_text(t.decode(), model, memo) for t in raw_texts(column)]
             ends = np.cumsum([0, *map(len, rows)])
             flat = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32), pa.int32())

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, lines, pieces, pii, quality, secrets, shards, simhash
+from . import decontam, digest, lines, pieces, pii, quality, secrets, shards, simhash, suffix
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +42,12 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    digest = [F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")]
+    cut = suffix.dedup(table(spark, folder, "documents"), digest=digest)
+    return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
     cut = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select(
@@ -121,6 +127,7 @@ QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_personal_data": op2_personal_data,
     "op3_simhash": op3_simhash,
+    "op4_suffixes": op4_suffixes,
     "op5_lines": op5_lines,
     "op6_shards": op6_shards,
     "op7_pieces": op7_pieces,
