@@ -198,18 +198,19 @@ def dedup(
     lines = saved(_named(picked), "lines")
     common = saved(lines.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "common")
     row = F.struct("line", "name", "more", "words")
-    alive = lines.join(common, "name").groupBy("id", "key").agg(F.sort_array(F.collect_set(row)).alias("rows"))
+    alive = lines.join(common.hint("merge"), "name").groupBy("id", "key").agg(F.sort_array(F.collect_set(row)).alias("rows"))
     runs = saved(_runs(alive, min_words), "runs")
     place = F.struct("id", "key", "start")
     first = saved(
         runs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"),
         "first",
     )
-    later = runs.join(first, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
+    later = runs.join(first.hint("merge"), ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     cuts = later.groupBy("id", "key").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
     cuts = saved(_merged(cuts), "cuts").withColumnsRenamed({"id": "_id", "key": "_key"})
+    # the same plan at every size: how many documents lose lines isn't bounded, so their list is never broadcast
     joined = docs.withColumn("_own", key).join(
-        cuts, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left"
+        cuts.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left"
     )
     body = F.split(text_col, "\n", -1)
     left = F.array_join(
