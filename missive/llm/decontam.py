@@ -159,7 +159,7 @@ def _mapped(text: bytes, runs: list[tuple[int, int]], spans: list[dict]) -> tupl
     """Number of hit words and their code point spans, joined with the spans of earlier blocks."""
     if not runs and not spans:
         return 0, []
-    places = [m.span() for m in _WORD.finditer(text.decode())]
+    places = [m.span() for m in _WORD.finditer(text.translate(LOWER).decode())]
     hit = np.zeros(len(places), bool)
     for first, end in runs:
         hit[first:end] = True
