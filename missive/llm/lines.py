@@ -207,24 +207,24 @@ def dedup(
     )
     later = runs.join(first.hint("merge"), ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     cuts = later.groupBy("id", "key").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
-    cuts = saved(_merged(cuts), "cuts").withColumnsRenamed({"id": "_id", "key": "_key"})
-    # the same plan at every size: how many documents lose lines isn't bounded, so their list is never broadcast
-    joined = docs.withColumn("_own", key).join(
-        cuts.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left"
-    )
-    body = F.split(text_col, "\n", -1)
-    left = F.array_join(
-        F.flatten(F.transform("keeps", lambda k: F.slice(body, k["offset"] + 1, k["lines"]))), "\n"
+    cuts = saved(_merged(cuts), "cuts").select(
+        F.struct(F.col("id").alias("id"), F.col("key").alias("key")).alias("_of"),
+        F.struct("removed", "keeps").alias("_cut"),
     )
+    # the same plan at every size: how many documents lose lines isn't bounded, so their list is never broadcast
+    own = docs[id_col].eqNullSafe(F.col("_of.id")) & (F.xxhash64(docs[text_col]) == F.col("_of.key"))
+    joined = docs.join(cuts.hint("merge"), own, "left")
+    text, kept = docs[text_col], F.col("_cut.keeps")
+    body = F.split(text, "\n", -1)
+    left = F.array_join(F.flatten(F.transform(kept, lambda k: F.slice(body, k["offset"] + 1, k["lines"]))), "\n")
     columns = [
-        F.when(F.col("keeps").isNull(), F.col(text_col)).otherwise(left).alias(c) if c == text_col else F.col(c)
-        for c in docs.columns
+        F.when(kept.isNull(), text).otherwise(left).alias(c) if c == text_col else docs[c] for c in docs.columns
     ]
     none = F.array().cast("array<struct<start: int, end: int>>")
     return joined.select(
         *columns,
         F.coalesce(F.size(body), F.lit(0)).alias("line_count"),
-        F.coalesce("removed", none).alias("removed_runs"),
+        F.coalesce("_cut.removed", none).alias("removed_runs"),
     )
 
 
