@@ -211,7 +211,7 @@ def _ranges(table: DataFrame, pending: DataFrame, step: int, span: int) -> DataF
             np.array(open_, bool),
         )
 
-    return _each(table.select("key", "z").join(items, "key"), _ROW, _NAMES, emit)
+    return _each(table.select("key", "z").join(items.hint("merge"), "key"), _ROW, _NAMES, emit)
 
 
 def _refined(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -223,11 +223,11 @@ def _refined(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         f"{name}-classes",
     )
     twice = saved(classes.where("n > 1 and open").select("u", "v"), f"{name}-twice")
-    settled = rows.where("open").join(twice, ["u", "v"]).select("key", "range")
+    settled = rows.where("open").join(twice.hint("merge"), ["u", "v"]).select("key", "range")
     alone = (F.col("n") == 1) & F.col("open")
     busy = classes.groupBy("i").agg(F.count("*").alias("classes"), F.max(alone).alias("pending"))
     busy = saved(busy.where("classes > 1 and pending").select("i"), f"{name}-busy")
-    pending = classes.join(busy, "i").select("one.key", "one.range", alone.alias("open"))
+    pending = classes.join(busy.hint("merge"), "i").select("one.key", "one.range", alone.alias("open"))
     return settled, saved(pending, f"{name}-pending")
 
 
@@ -236,7 +236,7 @@ def _repeated(rows: DataFrame, name: str) -> DataFrame:
     common = saved(
         rows.groupBy("i").agg(F.count("*").alias("n")).where("n > 1").select("i"), f"{name}-common"
     )
-    return rows.join(common, "i")
+    return rows.join(common.hint("merge"), "i")
 
 
 def repeats(table: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -246,7 +246,7 @@ def repeats(table: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """
     grams = _grams(table, span, gram)
     common = saved(grams.groupBy("i").agg(F.count("*").alias("n")).where("n > 1").select("i"), "grams")
-    entries = saved(_entries(table, span, gram).join(common, "i"), "entries")
+    entries = saved(_entries(table, span, gram).join(common.hint("merge"), "i"), "entries")
     settled, pending = _refined(entries, "blocks")
     parts = [settled]
     for step in STEPS[:-1]:
@@ -255,7 +255,7 @@ def repeats(table: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
         parts.append(settled)
     strings = saved(_ranges(table, pending, STEPS[-1], span), "strings")
     twice = strings.groupBy("u", "v").agg(F.count("*").alias("n")).where("n > 1").select("u", "v")
-    parts.append(strings.where("open").join(saved(twice, "twice"), ["u", "v"]).select("key", "range"))
+    parts.append(strings.where("open").join(saved(twice, "twice").hint("merge"), ["u", "v"]).select("key", "range"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -315,8 +315,8 @@ def dedup(
             yield pa.RecordBatch.from_arrays(columns, ["key", "n_bytes", "n_removed", "spans", "kept"])
 
     schema = "key bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
-    results = table.join(found, "key", "left").select("key", "z", "copies", "ranges").mapInArrow(run, schema)
+    results = table.join(found.hint("merge"), "key", "left").select("key", "z", "copies", "ranges").mapInArrow(run, schema)
     # only what the caller asks for is joined to the ids: a column of ``results`` that isn't used isn't written
     keyed = saved(docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("key")), "keyed")
     results = results if digest is None else results.select("key", "n_bytes", "n_removed", *digest)
-    return keyed.join(saved(results, "results"), "key").drop("key")
+    return keyed.join(saved(results, "results").hint("merge"), "key").drop("key")
