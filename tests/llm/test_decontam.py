@@ -19,8 +19,9 @@ def brute(texts, items, width):
             windows.setdefault(tuple(words[i : i + width]), set()).add("null" if name is None else str(name))
     out = []
     for text in texts:
-        places = [m.span() for m in WORD.finditer(lowered(text))]
-        words = [lowered(text)[a:b] for a, b in places]
+        low = lowered(text)
+        places = [m.span() for m in WORD.finditer(low)]
+        words = [low[a:b] for a, b in places]
         hit, names = set(), set()
         for size in {len(w) for w in windows}:
             for i in range(len(words) - size + 1):
