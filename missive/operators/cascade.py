@@ -30,15 +30,18 @@ def cascade_rows(
 ) -> DataFrame:
     """Decide every row of ``stage1`` (id, y, p).
 
-    ``stage2`` (id, p) needs rows for the uncertain messages only; others are ignored.  Thresholds are numbers or
-    scalar columns.  Result: prediction, confidence, stage_used, stage1_proba, stage2_proba (null where stage 1
+    ``stage2`` (id, p) needs rows for the uncertain messages only; others are ignored.  An uncertain message without a
+    stage-2 score, and any message without a stage-1 score, is an error.  Thresholds are numbers or scalar columns.  Result: prediction, confidence, stage_used, stage1_proba, stage2_proba (null where stage 1
     decided) and the final probability ``p``.
     """
     low, high, cut = _column(low), _column(high), _column(stage2_threshold)
     second = stage2.select(id_col, F.col("p").alias("_p2"))
     rows = stage1.join(second, id_col, "left")
-    p1, p2 = F.col("p"), F.col("_p2")
+    no_score = F.raise_error(F.lit("A message has no stage-1 score")).cast("double")
+    p1 = F.when(F.col("p").isNull(), no_score).otherwise(F.col("p"))
     used = S.stage_used(p1, low, high)
+    no_second = F.raise_error(F.lit("An uncertain message has no stage-2 score")).cast("double")
+    p2 = F.when((used == 2) & F.col("_p2").isNull(), no_second).otherwise(F.col("_p2"))
     return rows.select(
         *[c for c in stage1.columns if c not in ("p", "pred")],
         S.cascade_prediction(p1, p2, low, high, cut).alias("prediction"),

@@ -1,10 +1,10 @@
 """Exact order statistics and running totals without an unbounded single-task sort.
 
 The input is first folded to one row per distinct value and materialised, so the rows behind it are read once.
-Up to ``SORT_IN_ONE_TASK`` distinct values are a plain window.  Beyond that the axis is cut into ranges at
-approximate quantiles of the distinct values; the totals per range (a few hundred rows) give every range its starting
-offset, and the running sum inside a range is a window partitioned by range.  The cut points only balance the
-work; the results do not depend on them.
+The axis is cut into ranges at approximate quantiles of the distinct values; the totals per range (a few hundred rows)
+give every range its starting offset, and the running sum inside a range is a window partitioned by range.  The cut
+points only balance the work; the results do not depend on them.  There is one path for every size, and null groups
+are groups.
 """
 
 from __future__ import annotations
@@ -18,16 +18,12 @@ from pyspark.sql import Window as W
 from ..session import checkpoint, shuffle_width
 
 
-SORT_IN_ONE_TASK = 200_000
-
-
 def running_totals(
     points: DataFrame,
     value: str,
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    in_one_task: int = SORT_IN_ONE_TASK,
 ) -> DataFrame:
     """Add ``cum_<c>`` (running total including this point) and ``total_<c>`` for every column in ``sums``.
 
@@ -37,39 +33,32 @@ def running_totals(
     points = checkpoint(points.where(F.col(value).isNotNull()))
     ranges = max(shuffle_width(points), 2)
     steps = [i / ranges for i in range(1, ranges)]
-    size = points.agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx(value, steps, 100 * ranges).alias("cuts")
-    ).first()
+    found = points.agg(F.percentile_approx(value, steps, 100 * ranges).alias("cuts")).first().cuts
 
     groups = [F.col(c) for c in by] or [F.lit(0)]
     step = F.desc if descending else F.asc
     up_to_here = (W.unboundedPreceding, W.currentRow)
-    if size.n <= in_one_task:
-        whole = W.partitionBy(*groups)
-        along = whole.orderBy(step(value)).rowsBetween(*up_to_here)
-        return points.select(
-            "*",
-            *[F.sum(c).over(along).alias(f"cum_{c}") for c in sums],
-            *[F.sum(c).over(whole).alias(f"total_{c}") for c in sums],
-        )
-
-    cuts = F.lit(sorted(set(size.cuts)))
-    placed = points.withColumn("_range", F.size(F.filter(cuts, lambda cut: cut < F.col(value))))
+    cuts = sorted(set(found or ()))
+    place = F.size(F.filter(F.lit(cuts), lambda cut: cut < F.col(value))) if cuts else F.lit(0)
+    placed = points.withColumn("_range", place)
     per_range = placed.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_in_{c}") for c in sums])
     # at most `ranges` rows per group reach these two windows
     whole = W.partitionBy(*groups)
     before = whole.orderBy(step("_range")).rowsBetween(W.unboundedPreceding, -1)
     offsets = per_range.select(
-        *by,
-        "_range",
+        *[F.col(c).alias(f"_of_{c}") for c in by],
+        F.col("_range").alias("_at"),
         *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_in_{c}").over(whole).alias(f"total_{c}") for c in sums],
     )
     inside = W.partitionBy(*by, "_range").orderBy(step(value)).rowsBetween(*up_to_here)
-    joined = placed.join(offsets, [*by, "_range"])
+    same = F.col("_range") == F.col("_at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    joined = placed.join(offsets, same)
     for c in sums:
         joined = joined.withColumn(f"cum_{c}", F.sum(c).over(inside) + F.col(f"_before_{c}"))
-    return joined.drop("_range", *[f"_before_{c}" for c in sums])
+    return joined.drop("_range", "_at", *[f"_of_{c}" for c in by], *[f"_before_{c}" for c in sums])
 
 
 def _interpolated(q: float, value: str, cum: str, total: str):

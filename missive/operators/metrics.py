@@ -18,7 +18,10 @@ CELLS = ("tp", "fp", "fn", "tn")
 
 
 def cell_counts(y: str = "y", pred: str = "pred") -> list[Column]:
-    truth, guess = F.col(y) == 1, F.col(pred) == 1
+    # a row without a truth or a prediction would be in none of the cells
+    missing = F.col(y).isNull() | F.col(pred).isNull()
+    checked = F.when(missing, F.raise_error(F.lit("A row has no truth or no prediction"))).otherwise(F.col(pred))
+    truth, guess = F.col(y) == 1, checked == 1
     return [
         F.count_if(truth & guess).alias("tp"),
         F.count_if(~truth & guess).alias("fp"),

@@ -12,11 +12,14 @@ Joins using MapReduce", 2012):
    multiplies its two blocks and emits k rows per query.
 4. The partial lists are merged with a top-k per query.
 
-Pruning only saves work: the result equals the brute-force one.
+Pruning only saves work: the result equals the brute-force one.  Vectors are centred first, and what pruning and
+matrix products are allowed to be wrong by follows from the vectors' norms, so vectors far from the origin are as
+exact as others.  One plan serves every size; the number of cells grows with the square root of the collection.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +33,8 @@ from ..functions.text import hash_key
 
 METRICS = ("l2", "cosine")
 
-# Covers the rounding of matrix products; a larger value only visits more cells and rechecks more pairs.
-SLACK = 1e-6
+# Rows of a batch that are compared with all pivots or block rows at a time.
+ROWS_AT_A_TIME = 512
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -44,6 +47,12 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * cross, 0.0)
 
 
+def _rounding(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What ``_squared`` may be wrong by, for each row of a; a larger value only visits and rechecks more."""
+    norms = (a * a).sum(1) + (b * b).sum(1).max(initial=0.0)
+    return 8.0 * (a.shape[1] + 8) * np.finfo(np.float64).eps * norms
+
+
 def _pair_distance(q: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
     """Row-wise distances; q is one vector or one per row.  Equal vectors give equal results wherever they stand."""
     if metric == "l2":
@@ -64,14 +73,14 @@ def _pair_distances(
     return out
 
 
-def _search_form(vectors: np.ndarray, metric: str, side: int) -> np.ndarray:
+def _search_form(vectors: np.ndarray, metric: str, side: int, centre: np.ndarray | float = 0.0) -> np.ndarray:
     """Vectors whose Euclidean order is the metric's order.
 
-    For cosine these are unit vectors.  A zero vector has distance 1 to everything: it becomes a unit vector on
+    For l2 they are moved by ``centre``, so that their norms are of the size of their distances.  For cosine these are unit vectors.  A zero vector has distance 1 to everything: it becomes a unit vector on
     an axis of its own, one axis for queries and another for the collection.
     """
     if metric == "l2":
-        return vectors
+        return vectors - centre
     norms = np.sqrt((vectors * vectors).sum(1))
     zero = norms == 0
     unit = vectors / np.where(zero, 1.0, norms)[:, None]
@@ -120,13 +129,15 @@ def _match(asked: pd.DataFrame, offered: pd.DataFrame, k: int, metric: str) -> p
     """
     q, x = _matrix(asked["vec"]), _matrix(offered["vec"])
     ids, query_ids = offered["id"].to_numpy(), asked["query_id"].to_numpy()
-    qs, xs = _search_form(q, metric, 1), _search_form(x, metric, 0)
+    centre = x.mean(0)
+    qs, xs = _search_form(q, metric, 1, centre), _search_form(x, metric, 0, centre)
     kth = min(k, len(x)) - 1
     parts = []
-    for start in range(0, len(q), 512):
-        rough = _squared(qs[start : start + 512], xs)
+    for start in range(0, len(q), ROWS_AT_A_TIME):
+        some = qs[start : start + ROWS_AT_A_TIME]
+        rough = _squared(some, xs)
         edge = np.partition(rough, kth, axis=1)[:, kth]
-        row, column = np.nonzero(rough <= (edge * (1 + SLACK) + SLACK)[:, None])
+        row, column = np.nonzero(rough <= (edge + 2 * _rounding(some, xs))[:, None])
         row = row + start
         distance = _pair_distances(q, x, row, column, metric)
         found = pd.DataFrame({"query": row, "id": ids[column], "distance": distance})
@@ -151,12 +162,11 @@ def knn_join(
     id_col: str = "id",
     vec_col: str = "embedding",
     block_rows: int = 4096,
-    max_pivots: int = 256,
 ) -> DataFrame:
     """(query_id, id, distance, rank): the k nearest collection rows of every query, ties to the smaller id.
 
-    ``l2`` reports squared Euclidean distance.  The driver holds the pivots and per-cell summaries only: at most
-    ``max_pivots`` vectors and ``max_pivots · k`` distances.
+    ``l2`` reports squared Euclidean distance.  The driver holds the pivots, the square root of the collection's rows
+    in number, and k distances for each.
     """
     _check_metric(metric)
     items = collection.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
@@ -175,27 +185,19 @@ def knn_join(
     def merged(partial: DataFrame) -> DataFrame:
         return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
-    few = items.limit(block_rows + 1).toPandas()
-    if len(few) <= block_rows:
-        # the whole collection is one block: it travels to the queries, which are not shuffled
-        offered = few if len(few) else None
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if offered is not None and len(batch):
-                    yield _match(batch, offered, k, metric)
-
-        return merged(asks.mapInPandas(scan, result_schema))
-
     n_items = items.count()
-    wanted = max(1, min(max_pivots, n_items // block_rows))
+    if not n_items:
+        return merged(queries.sparkSession.createDataFrame([], result_schema))
+    wanted = math.isqrt(n_items - 1) + 1
     picked = items.orderBy(hash_key(F.col("id"), 0), "id").limit(wanted).select("vec").collect()
-    pivots = np.unique(_search_form(_matrix(pd.Series([r.vec for r in picked])), metric, 0), axis=0)
+    chosen = _matrix(pd.Series([r.vec for r in picked]))
+    centre = chosen.mean(0)
+    pivots = np.unique(_search_form(chosen, metric, 0, centre), axis=0)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                d = np.sqrt(_squared(_search_form(_matrix(batch["vec"]), metric, 0), pivots))
+                d = np.sqrt(_squared(_search_form(_matrix(batch["vec"]), metric, 0, centre), pivots))
                 cell = d.argmin(1)
                 yield batch.assign(cell=cell.astype(np.int32), to_pivot=d[np.arange(len(batch)), cell])
 
@@ -231,18 +233,24 @@ def knn_join(
     near, far = np.array([r.near for r in summary]), np.array([r.far for r in summary])
     known = [np.array(r.close) for r in summary]
     home = pivots[cells]
+    # the rounding of the items' own distances: none is farther from the centre than its pivot and its radius
+    reach_of_items = (np.sqrt((home * home).sum(1)) + far).max() ** 2
+    farthest = 8.0 * (pivots.shape[1] + 8) * np.finfo(np.float64).eps * 2 * reach_of_items
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            d = np.sqrt(_squared(_search_form(_matrix(batch["vec"]), metric, 1), home))
-            bounds = np.hstack([d[:, [j]] + known[j][None, :] for j in range(len(cells))])
-            kth = min(k, bounds.shape[1]) - 1
-            reach = np.partition(bounds, kth, axis=1)[:, kth]
-            floor = np.maximum(np.maximum(d - far[None, :], near[None, :] - d), 0.0)
-            row, column = np.nonzero(floor <= (reach * (1 + SLACK) + SLACK)[:, None])
-            yield batch.iloc[row].assign(cell=cells[column].astype(np.int32))
+            for start in range(0, len(batch), ROWS_AT_A_TIME):
+                some = batch.iloc[start : start + ROWS_AT_A_TIME]
+                form = _search_form(_matrix(some["vec"]), metric, 1, centre)
+                d = np.sqrt(_squared(form, home))
+                bounds = np.hstack([d[:, [j]] + known[j][None, :] for j in range(len(cells))])
+                kth = min(k, bounds.shape[1]) - 1
+                reach = np.partition(bounds, kth, axis=1)[:, kth]
+                floor = np.maximum(np.maximum(d - far[None, :], near[None, :] - d), 0.0)
+                # three distances and the radii are each wrong by the root of the rounding at most
+                slack = 4 * np.sqrt(_rounding(form, home) + farthest)
+                row, column = np.nonzero(floor <= (reach + slack)[:, None])
+                yield some.iloc[row].assign(cell=cells[column].astype(np.int32))
 
     routed = asks.mapInPandas(
         route, t.StructType(asks.schema.fields + [t.StructField("cell", t.IntegerType())])

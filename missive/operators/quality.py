@@ -45,8 +45,8 @@ def invalid_labels(df: DataFrame, valid: Sequence[str] = VALID_LABELS, label_col
 
 
 def check_labels(df: DataFrame, valid: Sequence[str] = VALID_LABELS, label_col: str = "label") -> None:
-    """Raise with the list of unknown labels.  At most 20 are fetched for the message."""
-    bad = [row[0] for row in invalid_labels(df, valid, label_col).orderBy(label_col).limit(20).collect()]
+    """Raise with the list of all unknown labels."""
+    bad = [row[0] for row in invalid_labels(df, valid, label_col).orderBy(label_col).collect()]
     if bad:
         raise ValueError(f"Invalid labels found: {bad}. Expected one of {list(valid)}.")
 
@@ -144,7 +144,9 @@ def length_stats(df: DataFrame, text_col: str = "message", by: Sequence[str] = (
     for unit in ("char", "word"):
         median = percentiles(pairs, f"{unit}_count", {f"{unit}_median": 0.5}, by=by, weight="n")
         if by:
-            stats = stats.join(median, by)
+            keys = {c: f"_of_{c}" for c in by}
+            same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
+            stats = stats.join(median.withColumnsRenamed(keys), same).drop(*keys.values())
         else:
             stats = stats.withColumn(f"{unit}_median", median.scalar())
     order = [f"{unit}_{stat}" for unit in ("char", "word") for stat in ("mean", "std", "median", "max")]

@@ -75,8 +75,12 @@ def split_exact(
     """Add ``split`` with exactly ceil(test_size · n) test rows and the class shares kept.
 
     Per class only the bucket holding the last test row is sorted (1/65,536 of the class); its key becomes the
-    class's cutoff, and the assignment is then a comparison per row, without a shuffle of the table.
+    class's cutoff, and the assignment is then a comparison per row, without a shuffle of the table.  A class that is
+    unknown or null is an error.
     """
+    strangers = df.where(~F.coalesce(F.col(y_col).isin(*LABEL_CODES.values()), F.lit(False)))
+    if not strangers.isEmpty():
+        raise ValueError(f"{y_col} has values other than {sorted(LABEL_CODES.values())}")
     keyed = _keyed(df, id_col, y_col, seed)
     edges = _bucket_offsets(keyed, y_col).join(F.broadcast(test_quotas(df, test_size, y_col)), y_col)
     edges = edges.where((F.col("_before") < F.col("quota")) & (F.col("quota") <= F.col("_before") + F.col("_size")))
@@ -90,8 +94,7 @@ def split_exact(
     # quotas, edges and cutoffs hold one row per class, and there are len(LABEL_CODES) classes
     mine = F.struct(hash_key(F.col(id_col), seed).alias("k"), F.col(id_col).alias("i"))
     return (
-        df.where(F.col(y_col).isin(*LABEL_CODES.values()))
-        .join(F.broadcast(cutoffs), y_col, "left")
+        df.join(F.broadcast(cutoffs), y_col, "left")
         .withColumn("split", F.when(mine <= F.col("_cutoff"), F.lit("test")).otherwise(F.lit("train")))
         .drop("_cutoff")
     )

@@ -115,5 +115,5 @@ class ThresholdOptimizer:
 
     def save_thresholds(self, spark, path: str) -> None:
         if not self.thresholds:
-            raise ValueError("No thresholds to save. Run the optimization first.")
+            raise ValueError("No thresholds were tuned, so there is nothing to write")
         spark.createDataFrame([self.thresholds]).coalesce(1).write.mode("overwrite").json(path)

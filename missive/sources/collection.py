@@ -50,14 +50,19 @@ class VectorCollection:
             return self.spark.read.schema(SCHEMA).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                raise ValueError("Collection not initialized. Call create() first.") from error
+                raise ValueError("The collection is not initialized") from error
             raise
 
     def add(self, df: DataFrame, split: str | None = "train", text_col: str = "message") -> None:
-        """Append rows whose id is not in the collection yet."""
+        """Append rows whose id is not in the collection yet.
+
+        Of rows with the same id in one batch, the one with the smallest document is taken.
+        """
         self.create()
         fresh = collection_rows(df, split, text_col).join(self.rows().select("id"), "id", "left_anti")
-        fresh.write.mode("append").parquet(self.path)
+        fields = F.struct(*[c for c in fresh.columns if c != "id"])
+        one = fresh.groupBy("id").agg(F.min_by(fields, "document").alias("row")).select("id", "row.*")
+        one.select(*fresh.columns).write.mode("append").parquet(self.path)
 
     def query(self, vector, n_results: int = 5, metric: str = "l2") -> DataFrame:
         """The nearest rows to one vector: id, document, distance, label, split."""

@@ -79,3 +79,10 @@ def test_hybrid_cascade_end_to_end(spark, rows, tmp_path):
     stages, stats = hybrid.evaluate(rows), cascade.stage_stats(detail)
     lines = [r.value for r in report_lines(stages.drop("n"), stages, stats).orderBy("n").collect()]
     assert lines[1] == "FINAL EVALUATION REPORT" and any(line.startswith("Stage 2: ") for line in lines)
+
+
+def test_a_missing_score_is_an_error(spark):
+    first = spark.createDataFrame([(1, 1, 0.5), (2, 0, 0.05)], "msg_id bigint, y int, p double")
+    second = spark.createDataFrame([(2, 0.4)], "msg_id bigint, p double")
+    with pytest.raises(Exception, match="stage-2 score"):
+        cascade.cascade_rows(first, second).collect()

@@ -68,3 +68,14 @@ def test_self_is_nearest_and_single_query_agrees(spark, small):
     assert one == many and one[0] == 7
     with pytest.raises(ValueError, match="metric"):
         nearest(table, first, metric="l1")
+
+
+def test_far_from_the_origin_is_as_exact(spark):
+    rng = np.random.default_rng(12)
+    x = 1e6 + 0.05 * rng.normal(size=(300, 8))
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id bigint, embedding array<double>")
+    got = knn_join(frame, frame, 5, query_id="id").collect()
+    true = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    for r in got:
+        assert r.id == np.lexsort((np.arange(300), true[r.query_id]))[r["rank"] - 1]
+    assert len(got) == 1500

@@ -59,3 +59,9 @@ def test_sample_keeps_few_rows_per_task(spark):
 def test_class_weights(spark):
     weights = {r.y: r.weight for r in splits.class_weights(frame(spark, 100, 4)).collect()}
     assert weights == {0: 100 / (2 * 75), 1: 100 / (2 * 25)}
+
+
+def test_an_unknown_class_is_an_error(spark):
+    rows = spark.createDataFrame([(1, 0), (2, 1), (3, None)], "msg_id bigint, y int")
+    with pytest.raises(ValueError, match="values other"):
+        splits.split_exact(rows)
