@@ -24,6 +24,8 @@ def fit(patterns: np.ndarray, counts: np.ndarray, prior: float = 0.2, rounds: in
     by the ratio of its chances in the two classes, and by ``LEAST`` at least in its own direction, as labellers are
     taken to be better than chance.  ``START`` and ``LEAST`` keep the classes from changing places.
     """
+    if not len(counts):
+        return {"accuracy": np.empty((0, 2, 3)), "share": prior, "posterior": np.empty(0)}
     votes = np.asarray(patterns, np.int64).reshape(len(counts), -1)
     counts = np.asarray(counts, np.float64)
     told = np.stack([votes == v for v in range(3)], 2).astype(np.float64)  # row, labeller, vote
@@ -31,7 +33,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, prior: float = 0.2, rounds: in
     pseudo = np.array([[silent, right, wrong], [silent, wrong, right]]) * max(1.0, START_WEIGHT * counts.sum())
     accuracy = np.broadcast_to(pseudo / pseudo.sum(1, keepdims=True), (votes.shape[1], 2, 3))
     share, posterior = prior, np.full(len(counts), prior)
-    for _ in range(rounds if len(counts) else 0):
+    for _ in range(rounds):
         odds = np.log(accuracy[:, 1] / accuracy[:, 0])
         odds[:, 0] = 0.0
         odds[:, 1], odds[:, 2] = np.minimum(odds[:, 1], -LEAST), np.maximum(odds[:, 2], LEAST)
