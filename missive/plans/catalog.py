@@ -148,7 +148,7 @@ def load_labelled(spark: SparkSession, folder: str) -> DataFrame:
 def split_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "processed")
     save_processed(prepare(labelled(spark, folder)), path)
-    return load_processed(spark, path, "train").select("msg_id", "message", "y", "split")
+    return load_processed(spark, path).select("msg_id", "message", "y", "split")
 
 
 @query

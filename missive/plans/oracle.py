@@ -234,7 +234,7 @@ FROM (SELECT *, (f1 + ham_f1) / 2 AS f1_macro FROM ({_rates(_cells(source, 'mode
 
 ORACLE["load_labelled"] = _with(MSGS, select="SELECT msg_id, label, message FROM msgs")
 ORACLE["split_roundtrip"] = _with(
-    *PREPARED, select="SELECT msg_id, message_clean AS message, y, split FROM prep WHERE split = 'train'"
+    *PREPARED, select="SELECT msg_id, message_clean AS message, y, split FROM prep"
 )
 ORACLE["validate"] = _with(MSGS, VALID, select="SELECT msg_id, label, message FROM valid")
 ORACLE["dedup"] = "SELECT min(doc_id) AS msg_id, text AS message FROM documents GROUP BY text"

@@ -22,15 +22,33 @@ def build_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``.  A temporary folder is used only where the session
-    names none, which is the case in local tests.
+    A local session that names none gets a temporary folder; on a cluster that is an error.
     """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="missive-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def forgotten_later(spark: SparkSession, path: str) -> str:
+    """``path``, which is removed when the driver's JVM ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` through the session's shared folder."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="missive-checkpoint-"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        forgotten_later(spark, spark.sparkContext.getCheckpointDir())
     return df.checkpoint(eager=True)
 
 

@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
+from ..session import forgotten_later, shared_folder
 from .messages import found
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared checkpoint folder; a local temporary one only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="missive-")
-    return f"{base.rstrip('/')}/missive/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the session's shared folder, removed when the driver ends."""
+    return forgotten_later(spark, f"{shared_folder(spark)}/missive/{name}-{uuid.uuid4().hex}")
 
 
 def save_csv(df: DataFrame, path: str) -> None:
