@@ -568,7 +568,7 @@ def score_embedding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def leaderboard_ml(spark: SparkSession, folder: str) -> DataFrame:
     features = Prepared.of(labelled(spark, folder)).tfidf()
-    return fit_and_rank(features.vectors("train"), features.vectors("test"), TEXT_FAMILIES)[0]
+    return fit_and_rank(features.vectors("train"), features.vectors("test"), TEXT_FAMILIES)[0].drop("seconds")
 
 
 def _embedding_vectors(p: Prepared, split: str) -> DataFrame:
@@ -579,7 +579,7 @@ def _embedding_vectors(p: Prepared, split: str) -> DataFrame:
 def leaderboard_embedding_ml(spark: SparkSession, folder: str) -> DataFrame:
     p = Prepared.of(labelled(spark, folder))
     train, test = (_embedding_vectors(p, s) for s in ("train", "test"))
-    return fit_and_rank(train, test, EMBEDDING_FAMILIES, EmbeddingClassifier.columns())[0]
+    return fit_and_rank(train, test, EMBEDDING_FAMILIES, EmbeddingClassifier.columns())[0].drop("seconds")
 
 
 @query
