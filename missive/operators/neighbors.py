@@ -89,6 +89,11 @@ def _search_form(vectors: np.ndarray, metric: str, side: int, centre: np.ndarray
     return np.hstack([unit, extra])
 
 
+def _plain(frame: pd.DataFrame) -> pd.DataFrame:
+    """String columns as objects: Arrow-backed ones come in chunks after a concatenation, which can't be sent."""
+    return frame.astype({c: object for c in frame.columns if isinstance(frame[c].dtype, pd.StringDtype)})
+
+
 def _top(block: pd.DataFrame, k: int) -> pd.DataFrame:
     return block.sort_values(["distance", "id"], kind="stable").head(k)
 
@@ -115,7 +120,7 @@ def nearest(
                 found = pd.DataFrame(
                     {"id": batch[id_col], "distance": _pair_distance(query, _matrix(batch[vec_col]), metric)}
                 )
-                yield _top(found, n_results).rename(columns={"id": id_col})
+                yield _plain(_top(found, n_results)).rename(columns={"id": id_col})
 
     ranked = collection.select(id_col, vec_col).mapInPandas(best, schema).orderBy("distance", id_col).limit(n_results)
     # n_results rows on the broadcast side
@@ -145,7 +150,7 @@ def _match(asked: pd.DataFrame, offered: pd.DataFrame, k: int, metric: str) -> p
         parts.append(found.groupby("query", sort=False).head(k))
     best = pd.concat(parts, ignore_index=True)
     best.insert(0, "query_id", query_ids[best["query"].to_numpy()])
-    return best[["query_id", "id", "distance"]]
+    return _plain(best[["query_id", "id", "distance"]])
 
 
 def _check_metric(metric: str) -> None:
@@ -199,7 +204,7 @@ def knn_join(
             if len(batch):
                 d = np.sqrt(_squared(_search_form(_matrix(batch["vec"]), metric, 0, centre), pivots))
                 cell = d.argmin(1)
-                yield batch.assign(cell=cell.astype(np.int32), to_pivot=d[np.arange(len(batch)), cell])
+                yield _plain(batch).assign(cell=cell.astype(np.int32), to_pivot=d[np.arange(len(batch)), cell])
 
     placed = items.mapInPandas(
         place,
@@ -250,7 +255,7 @@ def knn_join(
                 # three distances and the radii are each wrong by the root of the rounding at most
                 slack = 4 * np.sqrt(_rounding(form, home) + farthest)
                 row, column = np.nonzero(floor <= (reach + slack)[:, None])
-                yield some.iloc[row].assign(cell=cells[column].astype(np.int32))
+                yield _plain(some.iloc[row]).assign(cell=cells[column].astype(np.int32))
 
     routed = asks.mapInPandas(
         route, t.StructType(asks.schema.fields + [t.StructField("cell", t.IntegerType())])
@@ -284,7 +289,9 @@ def knn_join(
 
     def match(asked: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(offered):
-            return pd.DataFrame({"query_id": [], "id": [], "distance": []})
+            # typed by the inputs: an untyped empty column can't be sent as a string
+            none = np.empty(0)
+            return pd.DataFrame({"query_id": asked["query_id"].iloc[:0], "id": offered["id"].iloc[:0], "distance": none})
         return _match(asked, offered, k, metric)
 
     keys = ["cell", "item_block", "query_block"]
