@@ -146,13 +146,13 @@ def _trace(text: str, base: int, end: int, back: list[int], ids: list[int], byte
 
 
 class Memo(dict):
-    """Ids of short runs, filled by the search."""
+    """Ids of short runs as bytes of 32-bit numbers, filled by the search."""
 
     def __init__(self, model: dict):
         self.model = model
 
-    def __missing__(self, run: str) -> array:
-        ids = array("i", chain.from_iterable(viterbi(run, self.model)))
+    def __missing__(self, run: str) -> bytes:
+        ids = array("i", chain.from_iterable(viterbi(run, self.model))).tobytes()
         if len(run) <= MEMO_CHARS:
             if len(self) >= MEMO_RUNS:
                 self.clear()
@@ -167,14 +167,14 @@ def encode_text(text: str, model: dict, memo: Memo) -> np.ndarray:
     text = " " + text
     if not model["cuts"]:
         return np.fromiter(chain.from_iterable(viterbi(text, model)), np.int32)
-    return np.fromiter(chain.from_iterable(map(memo.__getitem__, _RUN.findall(text))), np.int32)
+    return np.frombuffer(b"".join(map(memo.__getitem__, _RUN.findall(text))), np.int32)
 
 
-def decode_ids(ids: list[int], surface: list[bytes]) -> str:
+def decode_ids(ids: list[int] | np.ndarray, surface: list[bytes]) -> str:
     """The text of ids of this vocabulary.  Ids outside it and control ids spell nothing."""
-    size = len(surface)
-    spelled = b"".join([surface[i] if i is not None and 0 <= i < size else b"" for i in ids])
-    return spelled.decode("utf-8", "replace").removeprefix(" ")
+    ids = np.asarray(ids, np.int64)
+    known = ids[(ids >= 0) & (ids < len(surface))].tolist()
+    return b"".join(map(surface.__getitem__, known)).decode("utf-8", "replace").removeprefix(" ")
 
 
 def _field(docs: DataFrame, name: str) -> str:
@@ -222,8 +222,13 @@ def decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surface = shared.value
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids_col))
-            texts = [decode_ids(ids.as_py() or [], surface) for ids in column]
+            column = batch.column(names.index(ids_col))
+            numbers = column.values.fill_null(-1).to_numpy()
+            ends = column.offsets.to_numpy().tolist()
+            empty = column.is_null().to_pylist()
+            texts = [
+                "" if empty[k] else decode_ids(numbers[ends[k] : ends[k + 1]], surface) for k in range(len(column))
+            ]
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.string())], [*names, out])
 
