@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, lines, pieces, pii, quality, secrets, shards, simhash, suffix
+from . import decontam, digest, lines, pieces, pii, quality, secrets, shards, simhash, sql, suffix
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -136,4 +136,4 @@ QUERIES = {
     "op10_secrets": op10_secrets,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op5_lines": sql.LINES, "op8_decontamination": sql.DECONTAMINATION}
