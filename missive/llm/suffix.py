@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_texts, saved, scratch_path, shuffle_width
+from .common import in_parts, raw_texts, saved, scratch_path, shuffle_width
 
 SPAN, GRAM = 200, 40
 #: Widths of the ranges in each step; the last is one string.
 STEPS = (40, 8, 1)
 #: Offsets whose identifiers are computed at a time: 8 MB for each array.
 _CHUNK = 1 << 20
+#: Bytes of compressed texts that a task takes at a time.
+_PART = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
 _M = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(29).integers(0, 2**64, 256, dtype=np.uint64)
@@ -133,7 +135,7 @@ def _each(rows: DataFrame, schema: str, names: list[str], emit: Callable) -> Dat
         import zstandard
 
         unzip = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in (part for whole in batches for part in in_parts(whole, 1, _PART)):
             columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
             out = []
             for key, z, *rest in zip(*columns):
@@ -299,7 +301,7 @@ def dedup(
         import zstandard
 
         unzip = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in (part for whole in batches for part in in_parts(whole, 1, _PART)):
             sizes, removed, spans, kept = [], [], [], []
             columns = [batch.column(k).to_pylist() for k in range(1, 4)]
             for z, copies, ranges in zip(*columns):
