@@ -16,7 +16,8 @@ from ..functions import scoring as S
 from ..functions import text as T
 from ..models.closed_form import ClosedFormModel
 from ..models.classifier import EmbeddingClassifier, TextClassifier
-from ..models.search import RandomSearch
+from ..models.factory import FAMILIES
+from ..models.search import SPACES, RandomSearch
 from ..operators import cascade, embedding, metrics, neighbors, quality, splits, tfidf, thresholds
 from ..session import checkpoint
 from ..sources.collection import VectorCollection, build_collection
@@ -31,6 +32,8 @@ QUERIES: dict[str, Query] = {}
 
 DIGITS = 6
 DIM = 64
+#: The width of the fitted queries; those with an SQL counterpart keep DIM, which stands in their SQL.
+FULL_DIM = embedding.DIMENSION
 STAGE1, STAGE2 = "NearestCentroid", "GaussianNB"
 K_NEIGHBORS = 5
 
@@ -509,18 +512,7 @@ def final_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- fitted by Spark ML: rows only ---------------------------------------------------------------------------
 
-TEXT_FAMILIES = (
-    "LogisticRegression",
-    "LinearSVC",
-    "RidgeClassifier",
-    "DecisionTreeClassifier",
-    "RandomForestClassifier",
-    "ExtraTreesClassifier",
-    "GradientBoostingClassifier",
-    "MultinomialNB",
-    "NearestCentroid",
-    "DummyClassifier",
-)
+TEXT_FAMILIES = tuple(FAMILIES)
 EMBEDDING_FAMILIES = (
     "LogisticRegression",
     "LinearSVC",
@@ -561,8 +553,8 @@ def score_text(spark: SparkSession, folder: str) -> DataFrame:
 def score_embedding(spark: SparkSession, folder: str) -> DataFrame:
     """Balanced logistic regression over embeddings: test scores."""
     p = Prepared.of(labelled(spark, folder))
-    model = EmbeddingClassifier().fit(checkpoint(p.embedded("train", DIM)))
-    return rounded(model.score(p.embedded("test", DIM)).select("msg_id", "y", "p", "pred"))
+    model = EmbeddingClassifier().fit(checkpoint(p.embedded("train", FULL_DIM)))
+    return rounded(model.score(p.embedded("test", FULL_DIM)).select("msg_id", "y", "p", "pred"))
 
 
 @query
@@ -572,7 +564,7 @@ def leaderboard_ml(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _embedding_vectors(p: Prepared, split: str) -> DataFrame:
-    return EmbeddingClassifier().prepare(p.embedded(split, DIM))
+    return EmbeddingClassifier().prepare(p.embedded(split, FULL_DIM))
 
 
 @query
@@ -584,12 +576,17 @@ def leaderboard_embedding_ml(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def search_results(spark: SparkSession, folder: str) -> DataFrame:
-    """Logistic regression over embeddings: five trials on three folds, by recall."""
+    """Every search space over embeddings, with the search's own trials and folds, by recall."""
     p = Prepared.of(labelled(spark, folder))
-    search = RandomSearch("LogisticRegression", n_trials=5, columns=EmbeddingClassifier.columns())
-    search.optimize(_embedding_vectors(p, "train"), cv=3)
-    trials = search.results(spark)
-    return rounded(trials.select("trial", F.to_json("params").alias("params"), "score"))
+    vectors, trials = checkpoint(_embedding_vectors(p, "train")), None
+    for name in SPACES:
+        search = RandomSearch(name, columns=EmbeddingClassifier.columns())
+        search.optimize(vectors)
+        found = search.results(spark).select(
+            F.lit(name).alias("model"), "trial", F.to_json("params").alias("params"), "score"
+        )
+        trials = found if trials is None else trials.unionByName(found)
+    return rounded(trials)
 
 
 QUERIES["metrics"] = QUERIES.pop("metrics_row")
