@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A-Z to a-z, every other byte as it is.  UTF-8 never uses these bytes inside a longer code point.
@@ -44,6 +45,26 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def placed(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``rows`` with ``pos``, the place of each row among those of its key from 0 on, and ``n``, their number.
+
+    Rows are dealt by ranges of (key, order, row), so that no key, tie or repeated row meets in one task; nulls of
+    ``order`` come first.  The key isn't null.  Only one row for each range and key is summed over the ranges.
+    """
+    tied = saved(rows.withColumn("_tie", F.monotonically_increasing_id()), "tied")
+    keys = [key, *order, "_tie"]
+    dealt = tied.repartitionByRange(shuffle_width(rows), *keys).sortWithinPartitions(*keys).drop("_tie")
+    laid = dealt.withColumn("_at", F.monotonically_increasing_id())
+    laid = laid.select("*", F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_row"))
+    laid = saved(laid.drop("_at"), "laid")
+    parts = laid.groupBy(key, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"))
+    whole = W.partitionBy(key)
+    before = F.sum("_rows").over(whole.orderBy("_part")) - F.col("_rows")
+    parts = parts.select(key, "_part", (before - F.col("_first")).alias("_shift"), F.sum("_rows").over(whole).alias("n"))
+    found = laid.join(parts, [key, "_part"])
+    return found.select(*rows.columns, (F.col("_row") + F.col("_shift")).alias("pos"), "n")
+
+
 def raw_texts(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each row of a string or binary column, without decoding; a null is empty."""
     if isinstance(column, pa.ChunkedArray):

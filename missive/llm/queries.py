@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, lines, pieces, pii, quality, secrets, shards, simhash, sql, suffix
+from . import decontam, digest, lines, merkle, pieces, pii, quality, secrets, shards, simhash, sql, suffix
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -123,6 +123,15 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    found = merkle.prove(docs, altered={"text": F.when(hit, lowered).otherwise(F.col("text"))})
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", verified)
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_personal_data": op2_personal_data,
@@ -134,6 +143,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op13_merkle": op13_merkle,
 }
 
-SQL = {"op5_lines": sql.LINES, "op8_decontamination": sql.DECONTAMINATION}
+SQL = {"op5_lines": sql.LINES, "op8_decontamination": sql.DECONTAMINATION, "op13_merkle": sql.MERKLE}

@@ -57,3 +57,49 @@ LEFT JOIN (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (out) AS n_remove
                   string_agg(body, chr(10) ORDER BY i) FILTER (NOT out) AS kept FROM marked GROUP BY doc_id) m
   ON m.doc_id = d.doc_id
 LEFT JOIN listed ON listed.doc_id = d.doc_id"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text: after each byte eight shifts, marked -1."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda ch: [unicode(ch)::BIGINT{', -1' * 8}]))"
+    turn = "CASE WHEN e >= 0 THEN xor(c, e) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, e: {turn}), 4294967295)"
+
+
+def _climb(name: str, start: str, leaves: str, levels: int) -> str:
+    """From nodes ``start`` (tree, i, n, h): levels ``name``0 and up; along them what follows from ``leaves`` (key, tree,
+    i, cur, proof), with the siblings passed, as ``name``w0 and up."""
+    out = [f"{name}0 AS ({start}), {name}w0 AS ({leaves})"]
+    for k in range(levels):
+        own = f"w.i // {8**k}"
+        out.append(
+            f"""{name}{k + 1} AS (SELECT tree, i // 8 AS i, (n + 7) // 8 AS n,
+  CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} GROUP BY tree, i // 8, n),
+{name}w{k + 1} AS (SELECT w.key, w.tree, w.i, CASE WHEN n = 1 THEN cur
+    ELSE sha256(string_agg(CASE WHEN l.i = {own} THEN cur ELSE h END, '' ORDER BY l.i)) END AS cur,
+  proof || coalesce(string_agg(h, '' ORDER BY l.i) FILTER (l.i <> {own}), '') AS proof
+  FROM {name}w{k} w JOIN {name}{k} l ON l.tree = w.tree AND l.i // 8 = {own} // 8
+  GROUP BY w.key, w.tree, w.i, cur, proof, n)"""
+        )
+    return ",\n".join(out)
+
+
+_TEXT = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+_LEAF = "sha256(" + " || ".join(_TEXT.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_TAMPERED = (
+    f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 3 = 0 "
+    "THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+)
+
+MERKLE = f"""WITH told AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_LEAF.format(text="text")} AS h,
+  {_LEAF.format(text="tampered")} AS other FROM (SELECT *, {_TAMPERED} AS tampered FROM documents)),
+leaf AS (SELECT *, row_number() OVER (ORDER BY tree) AS key, count(*) OVER (PARTITION BY tree) AS n,
+  row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM told),
+{_climb("a", "SELECT tree, i, n, h FROM leaf", "SELECT key, tree, i, other AS cur, '' AS proof FROM leaf", 8)},
+sub AS (SELECT tree AS name, '' AS tree, h, count(*) OVER () AS n, row_number() OVER (ORDER BY encode(tree)) - 1 AS i
+  FROM a8),
+{_climb("b", "SELECT tree, i, n, h FROM sub",
+        "SELECT key, '' AS tree, sub.i, cur, proof FROM aw8 JOIN sub ON sub.name = aw8.tree", 3)}
+SELECT doc_id, leaf.h AS leaf, sub.h AS subroot, b3.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root,
+       cur = b3.h AS verified
+FROM leaf JOIN bw3 ON bw3.key = leaf.key JOIN sub ON sub.name = leaf.tree CROSS JOIN b3"""
