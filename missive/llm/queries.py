@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, lines, merkle, pieces, pii, quality, secrets, shards, simhash, sql, suffix
+from . import decontam, digest, lines, merkle, pieces, pii, quality, secrets, shards, simhash, sql, suffix, trie
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -123,6 +123,11 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    own = trie.sequences(table(spark, folder, "conversations"))
+    return trie.trie(*trie.rebuilt(*own)).drop("node", "parent")
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -143,7 +148,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op12_trie": op12_trie,
     "op13_merkle": op13_merkle,
 }
 
-SQL = {"op5_lines": sql.LINES, "op8_decontamination": sql.DECONTAMINATION, "op13_merkle": sql.MERKLE}
+SQL = {"op5_lines": sql.LINES, "op8_decontamination": sql.DECONTAMINATION, "op12_trie": sql.TRIE, "op13_merkle": sql.MERKLE}

@@ -103,3 +103,25 @@ sub AS (SELECT tree AS name, '' AS tree, h, count(*) OVER () AS n, row_number()
 SELECT doc_id, leaf.h AS leaf, sub.h AS subroot, b3.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root,
        cur = b3.h AS verified
 FROM leaf JOIN bw3 ON bw3.key = leaf.key JOIN sub ON sub.name = leaf.tree CROSS JOIN b3"""
+
+TRIE = rf"""WITH named AS (SELECT conv_id AS c, turn, sha256(strlen(r) || ':' || r || t) AS h,
+    len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, h) AS d FROM named),
+conv AS (SELECT c, max(d) AS n, {_crc32("c::VARCHAR")} % 4 AS skip, c - c % 20 AS base FROM own GROUP BY c),
+meant AS (SELECT a.c, a.n, a.skip, a.base, least(a.skip, coalesce(b.n, 0)) AS taken FROM conv a LEFT JOIN conv b ON b.c = a.base),
+turns AS (SELECT m.c, d, h, words FROM meant m JOIN own ON own.c = m.base AND d <= taken
+  UNION ALL SELECT m.c, d - skip + taken, h, words FROM meant m JOIN own ON own.c = m.c AND d > skip),
+path AS (SELECT c, d, words, string_agg(h, '') OVER (PARTITION BY c ORDER BY d) AS k FROM turns
+  UNION ALL SELECT c, 0, 0, '' FROM conv),
+node AS (SELECT k, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+  CASE WHEN any_value(d) > 0 THEN left(k, -64) END AS up FROM path GROUP BY k),
+kids AS (SELECT up, count(*) AS n FROM node GROUP BY up),
+full_node AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids ON kids.up = node.k),
+below AS (SELECT a.k, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.words)::BIGINT AS saved_tokens
+  FROM full_node a JOIN full_node b ON starts_with(b.k, a.k) GROUP BY a.k),
+last AS (SELECT k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT *, max(d) OVER (PARTITION BY c) AS most FROM path) WHERE d = most GROUP BY k)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_node a JOIN below USING (k) LEFT JOIN node p ON p.k = a.up LEFT JOIN last ON last.k = a.k"""
