@@ -37,7 +37,8 @@ def compare(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> str | None:
         return f"rows {len(spark_rows)} != {len(sql_rows)}"
     a, b = canonical(spark_rows), canonical(sql_rows)
     for column in a.columns:
-        if a[column].dtype.kind != b[column].dtype.kind:
+        nullable = "Int64" in (str(a[column].dtype), str(b[column].dtype))  # pandas reads whole numbers with nulls as floats
+        if a[column].dtype.kind != b[column].dtype.kind and not (nullable and a[column].isna().any()):
             return f"{column}: {a[column].dtype} != {b[column].dtype}"
         same = (a[column] == b[column]) | (a[column].isna() & b[column].isna())
         if not same.all():
