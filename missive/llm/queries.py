@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, digest, lines, merkle, pieces, pii, quality, secrets, shards, simhash, sql, suffix, trie
+from . import decontam, digest, knn, lines, merkle, pieces, pii, quality, secrets, shards, simhash, sql, suffix, trie
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -123,6 +123,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.search(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
     own = trie.sequences(table(spark, folder, "conversations"))
     return trie.trie(*trie.rebuilt(*own)).drop("node", "parent")
@@ -148,8 +152,15 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_topk": op11_topk,
     "op12_trie": op12_trie,
     "op13_merkle": op13_merkle,
 }
 
-SQL = {"op5_lines": sql.LINES, "op8_decontamination": sql.DECONTAMINATION, "op12_trie": sql.TRIE, "op13_merkle": sql.MERKLE}
+SQL = {
+    "op5_lines": sql.LINES,
+    "op8_decontamination": sql.DECONTAMINATION,
+    "op11_topk": sql.TOP_K,
+    "op12_trie": sql.TRIE,
+    "op13_merkle": sql.MERKLE,
+}

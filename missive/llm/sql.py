@@ -125,3 +125,11 @@ last AS (SELECT k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
 SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens,
        sha256(coalesce(ids, '')) AS ends_sha256
 FROM full_node a JOIN below USING (k) LEFT JOIN node p ON p.k = a.up LEFT JOIN last ON last.k = a.k"""
+
+TOP_K = """WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, o.vec_id, list_inner_product(q.v, o.v)::BIGINT AS score
+  FROM v q JOIN v o ON q.vec_id % 50 = 0 AND (o.vec_id <> q.vec_id OR o.v <> q.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
