@@ -5,24 +5,31 @@ the pigeonhole leaves blocks of five bits, a thirty-second of all rows in each c
 
 Candidates come from prefixes.  All shingles have one order, seldom ones first; two similar sets of sizes m and n share
 a shingle among the first m - ceil(0.8 m) + 1 and n - ceil(0.8 n) + 1.  The order is taken from a sample, which decides
-about speed only.  Sets with a common prefix shingle form a list.  A parity sketch (one bit for each of some 4 n bins of
-the hashes) bounds the difference of two sets from below: the differing bits never exceed the differing shingles.
-
-Lists don't become pairs.  The nearest-neighbour tree of a list by sketch is verified first, on the shingles; then
-only members of different classes whose sketches allow 0.8 are left, and all of those are verified.  Shingles and sets
-are compared as 64-bit hashes.
+about speed only.  Sets with a common prefix shingle form a list.  The classes of SimHash fingerprints (``simhash``, over
+five-word shingles too) are lists as well: they bring near-copies together first.  A parity sketch (one bit for each of
+some 4 n bins of the hashes) bounds the difference of two sets from below: the differing bits never exceed the differing
+shingles.
+
+Lists don't become pairs, whatever their size.  First every list has a leader, the others are compared with it alone, and
+what is similar grows together; each turn draws other leaders.  Then only members of different classes are left to
+compare: a list is cut into blocks of bounded size by size class (a factor of 1.25: similar sets are in the same or the
+next one) and class so far, and two blocks meet only if they hold different classes.  Of two classes the nearest members
+are verified first, and all others only if these don't join them.
+
+Sets are named by 128-bit hashes; shingles are compared as 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, components, in_parts, raw_texts, saved, shuffle_width
+from . import simhash
+from .common import LOWER, components, in_parts, placed, raw_texts, saved, shuffle_width
 
 #: The least similarity as a fraction, so that 0.8 itself is decided without rounding.
 LEAST = (4, 5)
@@ -33,6 +40,9 @@ SAMPLE_ROWS, RANKED = 16_384, 100_000
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 _FAR = np.iinfo(np.int64).max
 
+#: Turns in which lists draw leaders; members of a block at most, and the bytes of their sketches.
+TURNS, BLOCK, BLOCK_BYTES = 4, 256, 1 << 20
+
 
 def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
     """The distinct 64-bit hashes of all runs of ``size`` words, ascending.  A shorter text is one shingle."""
@@ -50,11 +60,11 @@ def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
     return np.unique(mixed ^ (mixed >> np.uint64(29)))
 
 
-def name_of(found: np.ndarray) -> int:
-    """The hash of a whole set, as a signed long."""
-    from xxhash import xxh3_64_intdigest
+def name_of(found: np.ndarray) -> bytes:
+    """The 128-bit hash of a whole set."""
+    from xxhash import xxh3_128_digest
 
-    return int(np.uint64(xxh3_64_intdigest(found.tobytes())).view(np.int64))
+    return xxh3_128_digest(found.tobytes())
 
 
 def prefix_length(n: int, least: tuple[int, int] = LEAST) -> int:
@@ -77,13 +87,13 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                 found = [shingles(x, size) for x in raw_texts(part.column(0))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name_of(x) for x in found], pa.int64()),
+                        pa.array([name_of(x) for x in found], pa.binary()),
                         pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
                     ],
                     ["node", "shingles"],
                 )
 
-    return docs.select("text").mapInArrow(run, "node bigint, shingles array<bigint>")
+    return docs.select("text").mapInArrow(run, "node binary, shingles array<bigint>")
 
 
 def _ranks(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +108,7 @@ def _ranks(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _marks(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """(id, node, n, prefix, sketch) of each row (id, text)."""
+    """(id, node, n, prefix, sketch, fp) of each row (id, text); fp: the SimHash fingerprint."""
     ranked, often = _ranks(docs, size)
 
     def prefix(found: np.ndarray) -> np.ndarray:
@@ -113,46 +123,21 @@ def _marks(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
         for batch in batches:
             for part in in_parts(batch, 1):
                 found = [shingles(x, size) for x in raw_texts(part.column(1))]
+                prints = np.array([simhash.fingerprint(x, size) for x in raw_texts(part.column(1))], np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array([name_of(x) for x in found], pa.int64()),
+                        pa.array([name_of(x) for x in found], pa.binary()),
                         pa.array([len(x) for x in found], pa.int64()),
                         pa.array([prefix(x) for x in found], pa.list_(pa.int64())),
                         pa.array([sketch(x) for x in found], pa.binary()),
+                        pa.array(prints.view(np.int64)),
                     ],
-                    ["id", "node", "n", "prefix", "sketch"],
+                    ["id", "node", "n", "prefix", "sketch", "fp"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, node bigint, n bigint, prefix array<bigint>, sketch binary")
-
-
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(nodes): the distinct nodes of each run of equal s, where there are two or more; rows (s, node) ascend."""
-    s, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def closed(s: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-        fresh = np.ones(len(s), bool)
-        fresh[1:] = (s[1:] != s[:-1]) | (node[1:] != node[:-1])
-        s, node = s[fresh], node[fresh]
-        starts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.zeros(0, np.int64)
-        ends = np.r_[starts[1:], len(s)]
-        many = np.flatnonzero(ends - starts > 1)
-        found = [node[starts[k] : ends[k]] for k in many]
-        return pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64()))], ["nodes"])
-
-    for batch in batches:
-        s = np.r_[s, batch.column(0).to_numpy(zero_copy_only=False)]
-        node = np.r_[node, batch.column(1).to_numpy(zero_copy_only=False)]
-        if not len(s):
-            continue
-        cut = int(np.searchsorted(s, s[-1]))
-        if cut:
-            yield closed(s[:cut], node[:cut])
-            s, node = s[cut:], node[cut:]
-    if len(s):
-        yield closed(s, node)
+    return docs.mapInArrow(run, f"id {kind}, node binary, n bigint, prefix array<bigint>, sketch binary, fp bigint")
 
 
 class Members:
@@ -194,60 +179,109 @@ class Members:
         possible = (out != _FAR) & (np.minimum(out, both) * (up + down) <= both * (down - up)) & (out <= both)
         return np.where(possible, out, _FAR)
 
-    def tree(self) -> Iterator[tuple[int, int]]:
-        """The edges of a least spanning forest over the possible pairs (Prim)."""
-        m = len(self.sizes)
-        left = np.ones(m, bool)
-        best, parent = np.full(m, _FAR), np.zeros(m, np.int64)
-        for _ in range(m):
-            k = int(np.argmin(np.where(left, best, _FAR)))
-            if not left[k] or best[k] == _FAR:
-                k = int(np.argmax(left))
-            elif best[k] != _FAR:
-                yield int(parent[k]), k
-            left[k] = False
+    def across(self, roots: np.ndarray, left: int) -> Iterator[tuple[int, int, int]]:
+        """The possible pairs (k, j, bound) of different roots; with ``left``, of one of the first ``left`` members and
+        a later one only."""
+        for k in range(left or len(roots)):
             near = self.bounds(k)
-            closer = left & (near < best)
-            best[closer], parent[closer] = near[closer], k
+            for j in np.flatnonzero((near != _FAR) & (roots != roots[k])).tolist():
+                if j >= left if left else j > k:
+                    yield k, j, int(near[j])
+
 
-    def across(self, roots: np.ndarray) -> Iterator[tuple[int, int]]:
-        """The possible pairs with different roots."""
-        if (roots == roots[0]).all():
-            return
-        for k in range(len(roots)):
-            near = np.flatnonzero((self.bounds(k) != _FAR) & (roots != roots[k]))
-            yield from ((k, int(j)) for j in near[near > k])
+def gap(a: bytes, b: bytes) -> int:
+    """The bits in which two sketches differ, the wider one folded."""
+    x, y = (np.frombuffer(s, np.uint64) for s in ((a, b) if len(a) <= len(b) else (b, a)))
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
-def _pairs(rows: DataFrame, pick: Callable[[Members, np.ndarray], Iterator[tuple[int, int]]], least) -> DataFrame:
-    """(a, b): what ``pick`` chooses of each list of the rows (list, node, n, root, sketch)."""
+def _possible(pairs: DataFrame, reps: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches don't exclude."""
+    up, down = least
 
-    def chosen(part: pa.Table) -> pa.RecordBatch:
-        nodes = part.column("node").to_numpy()
-        members = Members(part.column("n").to_numpy(), part.column("sketch").to_pylist(), least)
-        found = np.array(list(pick(members, part.column("root").to_numpy())), np.int64).reshape(-1, 2)
-        ends = nodes[found]
-        return pa.RecordBatch.from_arrays([pa.array(ends.min(1)), pa.array(ends.max(1))], ["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_parts(batch, 4):
+                n, m, x, y = (part.column(c).to_pylist() for c in ("na", "nb", "xa", "xb"))
+                far = [gap(*s) * (up + down) > (i + j) * (down - up) for i, j, s in zip(n, m, zip(x, y))]
+                keep = pa.array([not f for f in far], pa.bool_())
+                yield part.filter(keep).select(["a", "b"])
+
+    ends = [reps.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"x{c}")) for c in "ab"]
+    sized = pairs.join(ends[0].drop("xa"), "a").join(ends[1].drop("xb"), "b")
+    near = sized.where(F.least("na", "nb") * down >= F.greatest("na", "nb") * up).select("a", "b")
+    return near.join(ends[0], "a").join(ends[1], "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a binary, b binary")
+
+
+def _across(rows: DataFrame, every: bool, least: tuple[int, int]) -> DataFrame:
+    """(a, b): possible pairs of different roots in the rows (s, one, two, side, node, number, root, sketch) of two blocks:
+    all of them, or for each two roots the nearest one."""
+
+    def chosen(part: pa.Table) -> list[dict]:
+        nodes, roots = part.column("node").to_pylist(), part.column("root").to_pylist()
+        place = {r: k for k, r in enumerate(dict.fromkeys(roots))}
+        members = Members(part.column("number").to_numpy(), part.column("sketch").to_pylist(), least)
+        left = part.column("side").to_pylist().count(0)
+        found = members.across(np.array([place[r] for r in roots]), left if left < len(nodes) else 0)
+        best: dict = {}
+        for k, j, bound in found:
+            ends = tuple(sorted((nodes[k], nodes[j])))
+            of = ends if every else tuple(sorted((roots[k], roots[j])))
+            if of not in best or bound < best[of][0]:
+                best[of] = bound, *ends
+        return [{"ra": o[0], "rb": o[1], "gap": g, "a": a, "b": b} for o, (g, a, b) in best.items()]
+
+    kinds = pa.schema([("ra", pa.binary()), ("rb", pa.binary()), ("gap", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, last = [], None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column(0).to_numpy()
-            starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]]).tolist()
-            for at, end in zip(starts, [*starts[1:], len(lists)]):
-                if open_ and lists[at] != last:
-                    yield chosen(pa.Table.from_batches(open_))
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("s", "one", "two"))))
+            starts = [k for k, x in enumerate(keys) if not k or x != keys[k - 1]]
+            for at, end in zip(starts, [*starts[1:], len(keys)]):
+                if open_ and keys[at] != last:
+                    yield pa.RecordBatch.from_pylist(chosen(pa.Table.from_batches(open_)), kinds)
                     open_ = []
                 open_.append(batch.slice(at, end - at))
-                last = lists[at]
+                last = keys[at]
         if open_:
-            yield chosen(pa.Table.from_batches(open_))
-
-    ordered = rows.select("list", "node", "n", "root", "sketch")
-    ordered = ordered.repartition(shuffle_width(rows), "list").sortWithinPartitions("list", "node")
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+            yield pa.RecordBatch.from_pylist(chosen(pa.Table.from_batches(open_)), kinds)
+
+    keys = ["s", "one", "two"]
+    ordered = rows.repartition(shuffle_width(rows), *keys).sortWithinPartitions(*keys, "side", "node")
+    found = ordered.mapInArrow(run, "ra binary, rb binary, gap bigint, a binary, b binary")
+    if every:
+        return found.select("a", "b").distinct()
+    nearest = found.groupBy("ra", "rb").agg(F.min_by(F.struct("a", "b"), F.struct("gap", "a", "b")).alias("p"))
+    return nearest.select("p.a", "p.b").distinct()
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(s, one, two, side, node, number, root, sketch): the rows (s, node, number, root, sketch) once for each pair of blocks that
+    they are in; ``side`` is 1 for the second block of a pair."""
+    level = F.floor(F.log(F.greatest("number", F.lit(1))) / np.log(1.25))
+    sized = rows.withColumn("level", level)
+    sized = sized.withColumn("group", F.concat_ws(":", "s", "level"))
+    laid = placed(sized, "group", ["root", "node"])
+    # a sketch has a byte for each two shingles, at most
+    most = F.greatest(F.lit(1.0), F.least(F.lit(float(BLOCK)), BLOCK_BYTES / F.pow(F.lit(1.25), F.col("level"))))
+    laid = saved(laid.withColumn("block", F.floor(F.col("pos") / F.floor(most))).drop("group", "pos", "n"), "laid")
+    blocks = laid.groupBy("s", "level", "block").agg(F.min("root").alias("first"), F.max("root").alias("last"))
+    one, two = (blocks.select("s", *[F.col(c).alias(f"{c}{k}") for c in ("level", "block", "first", "last")]) for k in (1, 2))
+    same = (F.col("level1") == F.col("level2")) & (F.col("block1") <= F.col("block2"))
+    mixed = ~((F.col("first1") == F.col("last1")) & (F.col("first2") == F.col("last2")) & (F.col("first1") == F.col("first2")))
+    pairs = one.join(two, "s").where((same | (F.col("level1") + 1 == F.col("level2"))) & mixed)
+    name = [F.concat_ws(":", f"level{k}", f"block{k}").alias(c) for k, c in ((1, "one"), (2, "two"))]
+    pairs = saved(pairs.select("s", *name, "level1", "block1", "level2", "block2"), "block-pairs")
+    columns = ["s", "one", "two", "side", "node", "number", "root", "sketch"]
+    sides = []
+    for k in (1, 2):
+        wanted = pairs if k == 1 else pairs.where("one <> two")
+        wanted = wanted.select("s", "one", "two", F.col(f"level{k}").alias("level"), F.col(f"block{k}").alias("block"))
+        sides.append(laid.join(wanted, ["s", "level", "block"]).withColumn("side", F.lit(k - 1)).select(columns))
+    return sides[0].unionByName(sides[1])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
@@ -263,23 +297,67 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, lea
     return both.where(enough).select("a", "b").distinct()
 
 
+def lists(marks: DataFrame) -> DataFrame:
+    """(s, node): the sets with a prefix shingle in common and those of a SimHash class; of equal lists one is left."""
+    shared = marks.select(F.explode("prefix").alias("s"), "node")
+    prints = marks.select("fp", "node").distinct()
+    groups = components(simhash.links(saved(prints.select("fp").distinct(), "prints"))).withColumnRenamed("node", "fp")
+    named = F.xxhash64(F.lit("class"), F.coalesce("root", "fp")).alias("s")
+    shared = shared.unionByName(prints.join(groups, "fp", "left").select(named, "node"))
+    entries = saved(shared.distinct(), "entries")
+    low = F.lit((1 << 32) - 1)
+    hashes = [F.xxhash64(F.lit(seed), "node") for seed in (1, 2)]
+    parts = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(low))]
+    told = entries.groupBy("s").agg(F.count("*").alias("rows"), *[F.sum(x).alias(f"h{k}") for k, x in enumerate(parts)])
+    kept = told.where("rows > 1").groupBy("rows", *[f"h{k}" for k in range(4)]).agg(F.min("s").alias("s"))
+    return saved(entries.join(kept.select("s"), "s"), "lists")
+
+
 def links(docs: DataFrame, marks: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST) -> DataFrame:
-    """(a, b): edges between nodes of ``marks``, whose components are those of all pairs similar enough."""
-    width = shuffle_width(docs)
-    parts = marks.select(F.explode("prefix").alias("s"), "node").repartition(width, "s").sortWithinPartitions("s", "node")
-    lists = saved(parts.mapInArrow(_lists, "nodes array<bigint>").distinct(), "lists")
-    # two lists under one hash are one longer list, which loses nothing
-    members = lists.select(F.xxhash64("nodes").alias("list"), F.explode("nodes").alias("node"))
-    reps = marks.join(members.select("node").distinct(), "node", "left_semi").groupBy("node")
+    """(node, root): the classes of the nodes of ``marks`` that any similar pair joins to others."""
+    rows = lists(marks)
+    reps = marks.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node")
     reps = saved(reps.agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "reps")
-    rows = members.distinct().join(reps.drop("id"), "node")
-    first = saved(_pairs(rows.withColumn("root", F.col("node")), lambda m, _: m.tree(), least), "tree")
-    edges = saved(_verified(first, docs, reps, size, least), "edges")
-    roots = components(edges)
-    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = _pairs(placed, lambda m, roots: m.across(roots), least)
-    rest = saved(rest.join(first, ["a", "b"], "left_anti"), "across")
-    return edges.unionByName(_verified(rest, docs, reps, size, least))
+    edges = roots = tried = None
+
+    def rooted() -> DataFrame:
+        if roots is None:
+            return rows.withColumn("root", F.col("node"))
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def joined(pairs: DataFrame) -> bool:
+        """Verify the pairs; whether any is similar."""
+        nonlocal edges, roots
+        found = saved(_verified(pairs, docs, reps, size, least), "edges")
+        if found.isEmpty():
+            return False
+        edges = found if edges is None else saved(edges.unionByName(found), "all-edges")
+        roots = saved(components(edges), "roots")
+        return True
+
+    for turn in range(TURNS):
+        now = saved(rooted(), "rooted")
+        drawn = F.max_by(F.struct("node", "root"), F.struct(F.xxhash64(F.lit(turn), "node"), "node"))
+        leaders = now.groupBy("s").agg(drawn.alias("l")).select("s", F.col("l.node").alias("lead"), F.col("l.root").alias("of"))
+        pairs = now.join(leaders, "s").where(F.col("root") != F.col("of"))
+        pairs = pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "leads")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if not joined(saved(_possible(pairs, reps, least), "possible")):
+            break
+    for every in (False, True):
+        now = rooted()
+        mixed = now.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("s")
+        left = now.join(mixed, "s").join(reps.drop("id"), "node").select("s", "node", F.col("n").alias("number"), "root", "sketch")
+        pairs = _across(_blocks(left), every, least).join(tried, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "across")
+        tried = tried.unionByName(pairs)
+        joined(pairs)
+    if roots is None:
+        return marks.select("node", F.col("node").alias("root")).limit(0)
+    return roots
 
 
 def classes(
@@ -292,7 +370,7 @@ def classes(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marks = saved(_marks(rows, size, least), "marks")
     named = saved(marks.groupBy("node").agg(F.min("id").alias("least")), "named")
-    roots = components(links(rows, marks, size, least))
+    roots = links(rows, marks, size, least)
     named = saved(named.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
     smallest = saved(named.groupBy("root").agg(F.min("least").alias("component")), "smallest")
     of_node = saved(named.join(smallest, "root").select("node", "component"), "of-node")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import placed, saved, shuffle_width
 
 #: Turns of one conversation that one task sums, and the nodes of a component that one task totals.
-CHUNK, LIMIT = 16_384, 4_096
+CHUNK, LIMIT = 16_384, 256
 #: Conversation ids that are written into one row before a list of them is hashed.
 IDS_A_ROW = 65_536
 
@@ -286,14 +286,15 @@ def trie(sequence: DataFrame, convs: DataFrame, limit: int = LIMIT, chunk: int =
     nodes = numbered(steps, convs)
     nodes = nodes.withColumns(
         {
+            "comp": root_key(),
             "n_leaves": (F.col("n_children") == 0).cast("bigint"),
             "saved_tokens": (F.col("n_convs") - 1) * F.col("words"),
         }
     )
     nodes = saved(nodes, "numbered")
-    totals = rollup(nodes.withColumn("comp", root_key()), steps, ["n_leaves", "saved_tokens"], limit)
+    totals = rollup(nodes, steps, ["n_leaves", "saved_tokens"], limit)
     over = nodes.select(F.col("node").alias("parent"), F.col("owner").alias("parent_conv_id"))
-    named = nodes.drop("n_leaves", "saved_tokens").join(over, "parent", "left")
+    named = nodes.drop("comp", "n_leaves", "saved_tokens").join(over, "parent", "left")
     named = named.join(totals, "node").join(ends(steps, convs), "node", "left")
     empty = F.sha2(F.lit(""), 256)
     return named.select(

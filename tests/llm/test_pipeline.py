@@ -3,8 +3,8 @@
 import pytest
 from test_decontam import brute
 from test_lines_and_suffixes import brute_lines
+from test_near import brute_near
 from test_pieces_shards_quality import whole_search
-from test_simhash import brute_classes, brute_print
 
 import corpus_pipeline
 from missive.llm import pieces, quality
@@ -57,10 +57,11 @@ def test_line_stage(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
 
 
-def test_simhash_stage(stages):
+def test_near_copy_stage(stages):
+    """Five words, a similarity of 0.8: one document of each class of all pairs stays."""
     _, before, after = stages[2]
     rows = sorted(texts(before).items())
-    classes = brute_classes([brute_print(x) for _, x in rows])
+    classes = brute_near([x for _, x in rows])
     assert set(texts(after)) == {rows[c][0] for c in classes}
 
 
