@@ -16,7 +16,7 @@ compare: a list is cut into blocks of bounded size by size class (a factor of 1.
 next one) and class so far, and two blocks meet only if they hold different classes.  Of two classes the nearest members
 are verified first, and all others only if these don't join them.
 
-Sets are named by 128-bit hashes; shingles are compared as 64-bit hashes.
+Sets are known by 128-bit hashes and numbered; shingles are compared as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 _FAR = np.iinfo(np.int64).max
 
 #: Turns in which lists draw leaders; members of a block at most, and the bytes of their sketches.
-TURNS, BLOCK, BLOCK_BYTES = 4, 256, 1 << 20
+TURNS, BLOCK, BLOCK_BYTES = 3, 256, 1 << 20
 
 
 def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
@@ -67,6 +67,15 @@ def name_of(found: np.ndarray) -> bytes:
     return xxh3_128_digest(found.tobytes())
 
 
+def print_of(found: np.ndarray) -> int:
+    """The SimHash fingerprint of a set: a bit is set if it is set in over half of the shingles' hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(found), 65_536):
+        part = np.ascontiguousarray(found[at : at + 65_536], "<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(found), bitorder="little").view("<u8")[0]) if len(found) else 0
+
+
 def prefix_length(n: int, least: tuple[int, int] = LEAST) -> int:
     return n + (-n * least[0] // least[1]) + 1 if n else 0
 
@@ -108,7 +117,7 @@ def _ranks(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _marks(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """(id, node, n, prefix, sketch, fp) of each row (id, text); fp: the SimHash fingerprint."""
+    """(id, node, n, prefix, sketch, fp) of each row (id, text); fp: the fingerprint."""
     ranked, often = _ranks(docs, size)
 
     def prefix(found: np.ndarray) -> np.ndarray:
@@ -123,7 +132,7 @@ def _marks(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
         for batch in batches:
             for part in in_parts(batch, 1):
                 found = [shingles(x, size) for x in raw_texts(part.column(1))]
-                prints = np.array([simhash.fingerprint(x, size) for x in raw_texts(part.column(1))], np.uint64)
+                prints = np.array([print_of(x) for x in found], np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -212,7 +221,7 @@ def _possible(pairs: DataFrame, reps: DataFrame, least: tuple[int, int]) -> Data
     ends = [reps.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"x{c}")) for c in "ab"]
     sized = pairs.join(ends[0].drop("xa"), "a").join(ends[1].drop("xb"), "b")
     near = sized.where(F.least("na", "nb") * down >= F.greatest("na", "nb") * up).select("a", "b")
-    return near.join(ends[0], "a").join(ends[1], "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a binary, b binary")
+    return near.join(ends[0], "a").join(ends[1], "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _across(rows: DataFrame, every: bool, least: tuple[int, int]) -> DataFrame:
@@ -233,7 +242,7 @@ def _across(rows: DataFrame, every: bool, least: tuple[int, int]) -> DataFrame:
                 best[of] = bound, *ends
         return [{"ra": o[0], "rb": o[1], "gap": g, "a": a, "b": b} for o, (g, a, b) in best.items()]
 
-    kinds = pa.schema([("ra", pa.binary()), ("rb", pa.binary()), ("gap", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
+    kinds = pa.schema([(c, pa.int64()) for c in ("ra", "rb", "gap", "a", "b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, last = [], None
@@ -251,7 +260,7 @@ def _across(rows: DataFrame, every: bool, least: tuple[int, int]) -> DataFrame:
 
     keys = ["s", "one", "two"]
     ordered = rows.repartition(shuffle_width(rows), *keys).sortWithinPartitions(*keys, "side", "node")
-    found = ordered.mapInArrow(run, "ra binary, rb binary, gap bigint, a binary, b binary")
+    found = ordered.mapInArrow(run, "ra bigint, rb bigint, gap bigint, a bigint, b bigint")
     if every:
         return found.select("a", "b").distinct()
     nearest = found.groupBy("ra", "rb").agg(F.min_by(F.struct("a", "b"), F.struct("gap", "a", "b")).alias("p"))
@@ -286,25 +295,28 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
     """The pairs whose shingle sets are similar enough, counted on the sets themselves."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = reps.join(ends, "node", "left_semi").select(F.col("id").alias("_id"))
+    ends = pairs.select(F.col("a").alias("number")).unionByName(pairs.select(F.col("b").alias("number"))).distinct()
+    wanted = saved(reps.join(ends, "number", "left_semi").select(F.col("id").alias("_id"), "node", "number"), "wanted")
     texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = saved(_sets(texts, size), "sets")
-    left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
+    sets = saved(_sets(texts, size).join(wanted.drop("_id"), "node").drop("node"), "sets")
+    left, right = (sets.select(F.col("number").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_a", "_b"))
     enough = shared * sum(least) >= (F.size("_a") + F.size("_b")) * least[0]
     return both.where(enough).select("a", "b").distinct()
 
 
-def lists(marks: DataFrame) -> DataFrame:
+def lists(reps: DataFrame) -> DataFrame:
     """(s, node): the sets with a prefix shingle in common and those of a SimHash class; of equal lists one is left."""
-    shared = marks.select(F.explode("prefix").alias("s"), "node")
-    prints = marks.select("fp", "node").distinct()
-    groups = components(simhash.links(saved(prints.select("fp").distinct(), "prints"))).withColumnRenamed("node", "fp")
+    entries = reps.select(F.explode("prefix").alias("s"), F.col("number").alias("node"))
+    # most shingles are in one set only
+    common = entries.groupBy("s").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("s")
+    groups = components(simhash.links(saved(reps.select("fp").distinct(), "prints"))).withColumnRenamed("node", "fp")
+    prints = reps.groupBy("fp").agg(F.count("*").alias("rows")).join(groups, "fp", "left")
+    prints = prints.where("rows > 1 OR root IS NOT NULL")
     named = F.xxhash64(F.lit("class"), F.coalesce("root", "fp")).alias("s")
-    shared = shared.unionByName(prints.join(groups, "fp", "left").select(named, "node"))
-    entries = saved(shared.distinct(), "entries")
+    alike = reps.select("fp", F.col("number").alias("node")).join(prints, "fp").select(named, "node")
+    entries = saved(entries.join(common, "s").unionByName(alike), "entries")
     low = F.lit((1 << 32) - 1)
     hashes = [F.xxhash64(F.lit(seed), "node") for seed in (1, 2)]
     parts = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(low))]
@@ -313,12 +325,15 @@ def lists(marks: DataFrame) -> DataFrame:
     return saved(entries.join(kept.select("s"), "s"), "lists")
 
 
-def links(docs: DataFrame, marks: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST) -> DataFrame:
-    """(node, root): the classes of the nodes of ``marks`` that any similar pair joins to others."""
-    rows = lists(marks)
-    reps = marks.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node")
-    reps = saved(reps.agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "reps")
-    edges = roots = tried = None
+def links(docs: DataFrame, reps: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST) -> DataFrame:
+    """(number, root): the classes of those sets of ``reps`` that any similar pair joins to others.
+
+    ``docs`` has the texts (id, text), ``reps`` a row for each set (number, node, id, n, prefix, sketch, fp).
+    """
+    rows = lists(reps)
+    listed = rows.select(F.col("node").alias("number")).distinct()
+    sized = saved(reps.join(listed, "number", "left_semi").select(F.col("number").alias("node"), "n", "sketch"), "sized")
+    roots = tried = None
 
     def rooted() -> DataFrame:
         if roots is None:
@@ -327,12 +342,20 @@ def links(docs: DataFrame, marks: DataFrame, size: int = SIZE, least: tuple[int,
 
     def joined(pairs: DataFrame) -> bool:
         """Verify the pairs; whether any is similar."""
-        nonlocal edges, roots
+        nonlocal roots
         found = saved(_verified(pairs, docs, reps, size, least), "edges")
         if found.isEmpty():
             return False
-        edges = found if edges is None else saved(edges.unionByName(found), "all-edges")
-        roots = saved(components(edges), "roots")
+        if roots is not None:  # classes so far are the nodes of what is new
+            for c in "ab":
+                found = found.join(roots.withColumnRenamed("node", c), c, "left")
+                found = found.withColumn(c, F.coalesce("root", c)).drop("root")
+        fresh = saved(components(found), "fresh")
+        if roots is not None:
+            higher = fresh.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+            moved = roots.join(higher, "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
+            fresh = moved.unionByName(fresh.join(roots.select("node"), "node", "left_anti"))
+        roots = saved(fresh, "roots")
         return True
 
     for turn in range(TURNS):
@@ -345,33 +368,36 @@ def links(docs: DataFrame, marks: DataFrame, size: int = SIZE, least: tuple[int,
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "leads")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if not joined(saved(_possible(pairs, reps, least), "possible")):
+        if not joined(saved(_possible(pairs, sized, least), "possible")):
             break
     for every in (False, True):
         now = rooted()
         mixed = now.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("s")
-        left = now.join(mixed, "s").join(reps.drop("id"), "node").select("s", "node", F.col("n").alias("number"), "root", "sketch")
+        left = now.join(mixed, "s").join(sized, "node").select("s", "node", F.col("n").alias("number"), "root", "sketch")
         pairs = _across(_blocks(left), every, least).join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "across")
         tried = tried.unionByName(pairs)
         joined(pairs)
     if roots is None:
-        return marks.select("node", F.col("node").alias("root")).limit(0)
-    return roots
+        return reps.select("number", F.col("number").alias("root")).limit(0)
+    return roots.withColumnRenamed("node", "number")
 
 
 def classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, least: tuple[int, int] = LEAST
 ) -> DataFrame:
-    """(id, node, component): component is the smallest id reachable over pairs of similarity ``least`` or more.
+    """(id, number, component): component is the smallest id reachable over pairs of similarity ``least`` or more.
 
     Texts without words are one class.  A null id never names a component unless the whole component has none.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marks = saved(_marks(rows, size, least), "marks")
-    named = saved(marks.groupBy("node").agg(F.min("id").alias("least")), "named")
-    roots = links(rows, marks, size, least)
-    named = saved(named.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
-    smallest = saved(named.groupBy("root").agg(F.min("least").alias("component")), "smallest")
-    of_node = saved(named.join(smallest, "root").select("node", "component"), "of-node")
-    return marks.select("id", "node").join(of_node, "node").select("id", "node", "component")
+    of_set = [F.first(c).alias(c) for c in ("n", "prefix", "sketch", "fp")]
+    reps = marks.groupBy("node").agg(F.min("id").alias("id"), *of_set)
+    reps = saved(reps.withColumn("number", F.monotonically_increasing_id()), "reps")
+    roots = links(rows, reps, size, least)
+    named = reps.select("node", "number", "id").join(roots, "number", "left")
+    named = saved(named.withColumn("root", F.coalesce("root", "number")), "rooted")
+    smallest = saved(named.groupBy("root").agg(F.min("id").alias("component")), "smallest")
+    of_node = saved(named.join(smallest, "root").select("node", "number", "component"), "of-node")
+    return marks.select("id", "node").join(of_node, "node").select("id", "number", "component")
