@@ -293,12 +293,8 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """The pairs whose shingle sets are similar enough, counted on the sets themselves."""
-    ends = pairs.select(F.col("a").alias("number")).unionByName(pairs.select(F.col("b").alias("number"))).distinct()
-    wanted = saved(reps.join(ends, "number", "left_semi").select(F.col("id").alias("_id"), "node", "number"), "wanted")
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = saved(_sets(texts, size).join(wanted.drop("_id"), "node").drop("node"), "sets")
+def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The pairs whose shingle sets (number, shingles) are similar enough, counted on the sets themselves."""
     left, right = (sets.select(F.col("number").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -306,17 +302,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, lea
     return both.where(enough).select("a", "b").distinct()
 
 
-def lists(reps: DataFrame) -> DataFrame:
+def lists(marks: DataFrame, named: DataFrame) -> DataFrame:
     """(s, node): the sets with a prefix shingle in common and those of a SimHash class; of equal lists one is left."""
-    entries = reps.select(F.explode("prefix").alias("s"), F.col("number").alias("node"))
+    entries = marks.select(F.explode("prefix").alias("s"), "node")
     # most shingles are in one set only
-    common = entries.groupBy("s").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("s")
-    groups = components(simhash.links(saved(reps.select("fp").distinct(), "prints"))).withColumnRenamed("node", "fp")
-    prints = reps.groupBy("fp").agg(F.count("*").alias("rows")).join(groups, "fp", "left")
+    hashed = F.xxhash64("node")
+    common = entries.groupBy("s").agg(F.min(hashed).alias("x"), F.max(hashed).alias("y")).where("x <> y").select("s")
+    shared = entries.join(common, "s").distinct().join(named.select("node", "number"), "node")
+    groups = components(simhash.links(saved(named.select("fp").distinct(), "prints"))).withColumnRenamed("node", "fp")
+    prints = named.groupBy("fp").agg(F.count("*").alias("rows")).join(groups, "fp", "left")
     prints = prints.where("rows > 1 OR root IS NOT NULL")
-    named = F.xxhash64(F.lit("class"), F.coalesce("root", "fp")).alias("s")
-    alike = reps.select("fp", F.col("number").alias("node")).join(prints, "fp").select(named, "node")
-    entries = saved(entries.join(common, "s").unionByName(alike), "entries")
+    of_class = F.xxhash64(F.lit("class"), F.coalesce("root", "fp")).alias("s")
+    alike = named.select("fp", F.col("number").alias("node")).join(prints, "fp").select(of_class, "node")
+    entries = saved(shared.select("s", F.col("number").alias("node")).unionByName(alike), "entries")
     low = F.lit((1 << 32) - 1)
     hashes = [F.xxhash64(F.lit(seed), "node") for seed in (1, 2)]
     parts = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(low))]
@@ -325,14 +323,24 @@ def lists(reps: DataFrame) -> DataFrame:
     return saved(entries.join(kept.select("s"), "s"), "lists")
 
 
-def links(docs: DataFrame, reps: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST) -> DataFrame:
-    """(number, root): the classes of those sets of ``reps`` that any similar pair joins to others.
+def links(
+    docs: DataFrame, marks: DataFrame, named: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST
+) -> DataFrame:
+    """(number, root): the classes of those sets of ``named`` that any similar pair joins to others.
 
-    ``docs`` has the texts (id, text), ``reps`` a row for each set (number, node, id, n, prefix, sketch, fp).
+    ``docs`` has the texts (id, text), ``marks`` what is known of each, ``named`` a row for each set (number, node, id,
+    fp).  The texts move once, and only the sets in lists are kept.
     """
-    rows = lists(reps)
+    rows = lists(marks, named)
     listed = rows.select(F.col("node").alias("number")).distinct()
-    sized = saved(reps.join(listed, "number", "left_semi").select(F.col("number").alias("node"), "n", "sketch"), "sized")
+    listed = saved(named.join(listed, "number", "left_semi").select("number", "node", F.col("id").alias("_id")), "listed")
+    names = listed.select("node", "number")
+    sized = marks.select("node", "n", "sketch").join(names, "node").groupBy("number")
+    sized = sized.agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sized = saved(sized.withColumnRenamed("number", "node"), "sized")
+    texts = docs.join(listed, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = _sets(texts, size).join(names, "node").groupBy("number").agg(F.first("shingles").alias("shingles"))
+    sets = saved(sets, "sets")
     roots = tried = None
 
     def rooted() -> DataFrame:
@@ -343,7 +351,7 @@ def links(docs: DataFrame, reps: DataFrame, size: int = SIZE, least: tuple[int,
     def joined(pairs: DataFrame) -> bool:
         """Verify the pairs; whether any is similar."""
         nonlocal roots
-        found = saved(_verified(pairs, docs, reps, size, least), "edges")
+        found = saved(_verified(pairs, sets, least), "edges")
         if found.isEmpty():
             return False
         if roots is not None:  # classes so far are the nodes of what is new
@@ -379,7 +387,7 @@ def links(docs: DataFrame, reps: DataFrame, size: int = SIZE, least: tuple[int,
         tried = tried.unionByName(pairs)
         joined(pairs)
     if roots is None:
-        return reps.select("number", F.col("number").alias("root")).limit(0)
+        return named.select("number", F.col("number").alias("root")).limit(0)
     return roots.withColumnRenamed("node", "number")
 
 
@@ -392,11 +400,10 @@ def classes(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marks = saved(_marks(rows, size, least), "marks")
-    of_set = [F.first(c).alias(c) for c in ("n", "prefix", "sketch", "fp")]
-    reps = marks.groupBy("node").agg(F.min("id").alias("id"), *of_set)
-    reps = saved(reps.withColumn("number", F.monotonically_increasing_id()), "reps")
-    roots = links(rows, reps, size, least)
-    named = reps.select("node", "number", "id").join(roots, "number", "left")
+    named = marks.groupBy("node").agg(F.min("id").alias("id"), F.first("fp").alias("fp"))
+    named = saved(named.withColumn("number", F.monotonically_increasing_id()), "named")
+    roots = links(rows, marks, named, size, least)
+    named = named.select("node", "number", "id").join(roots, "number", "left")
     named = saved(named.withColumn("root", F.coalesce("root", "number")), "rooted")
     smallest = saved(named.groupBy("root").agg(F.min("id").alias("component")), "smallest")
     of_node = saved(named.join(smallest, "root").select("node", "number", "component"), "of-node")
