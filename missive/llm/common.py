@@ -38,7 +38,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: the lineage is cut, losses cost a reread."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that ``saved`` wrote and nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -121,7 +131,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     digest = (F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
     before = links.agg(*digest).first()
     for _ in range(max_rounds if before[0] else 0):
-        links = saved(star(star(links, True), False), "links")
+        older, links = links, saved(star(star(links, True), False), "links")
+        forget(older)
         state = links.agg(*digest).first()
         if state == before:
             break

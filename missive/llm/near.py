@@ -24,12 +24,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import LOWER, components, in_parts, placed, raw_texts, saved, shuffle_width
+from .common import LOWER, components, forget, in_parts, placed, raw_texts, saved, shuffle_width
 
 #: The least similarity as a fraction, so that 0.8 itself is decided without rounding.
 LEAST = (4, 5)
@@ -42,6 +43,8 @@ _FAR = np.iinfo(np.int64).max
 
 #: Turns in which lists draw leaders; members of a block at most, and the bytes of their sketches.
 TURNS, BLOCK, BLOCK_BYTES = 3, 256, 1 << 20
+#: Bits of the map of numbers that are asked for.
+BITS = 1 << 23
 
 
 def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
@@ -87,28 +90,23 @@ def sketch(found: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the rows (text); shingles as signed longs."""
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """(number, shingles) of the rows (number, text); shingles as signed longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in in_parts(batch, 0):
-                found = [shingles(x, size) for x in raw_texts(part.column(0))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name_of(x) for x in found], pa.binary()),
-                        pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
-                    ],
-                    ["node", "shingles"],
-                )
+            for part in in_parts(batch, 1):
+                found = [shingles(x, size).view(np.int64) for x in raw_texts(part.column(1))]
+                arrays = [part.column(0), pa.array(found, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["number", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "node binary, shingles array<bigint>")
+    return texts.select("number", "text").mapInArrow(run, "number bigint, shingles array<bigint>")
 
 
 def _ranks(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that are frequent in a sample, ascending, and how often they are there."""
     share = max(1, docs.count() // SAMPLE_ROWS)
-    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select(F.lit(0).cast("bigint").alias("number"), "text")
     counts = _sets(sample, size).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
     rows = counts.where("n > 2").orderBy(F.desc("n"), "s").limit(RANKED).collect()
     found = np.array([r["s"] for r in rows], np.int64).view(np.uint64)
@@ -116,37 +114,67 @@ def _ranks(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found[order], np.array([r["n"] for r in rows], np.int64)[order]
 
 
-def _marks(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """(id, node, n, prefix, sketch, fp) of each row (id, text); fp: the fingerprint."""
-    ranked, often = _ranks(docs, size)
-
-    def prefix(found: np.ndarray) -> np.ndarray:
-        rank = np.zeros(len(found), np.int64)
-        if len(ranked) and len(found):
-            at = np.minimum(np.searchsorted(ranked, found), len(ranked) - 1)
-            rank = np.where(ranked[at] == found, often[at], 0)
-        first = np.argsort(rank, kind="stable")[: prefix_length(len(found), least)]
-        return found[first].view(np.int64)
+def _marks(docs: DataFrame, size: int) -> DataFrame:
+    """(id, key, node, n, sketch, fp) of each row (id, key, text); fp: the fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in in_parts(batch, 1):
-                found = [shingles(x, size) for x in raw_texts(part.column(1))]
+            for part in in_parts(batch, 2):
+                found = [shingles(x, size) for x in raw_texts(part.column(2))]
                 prints = np.array([print_of(x) for x in found], np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0),
+                        *part.columns[:2],
                         pa.array([name_of(x) for x in found], pa.binary()),
                         pa.array([len(x) for x in found], pa.int64()),
-                        pa.array([prefix(x) for x in found], pa.list_(pa.int64())),
                         pa.array([sketch(x) for x in found], pa.binary()),
                         pa.array(prints.view(np.int64)),
                     ],
-                    ["id", "node", "n", "prefix", "sketch", "fp"],
+                    ["id", "key", "node", "n", "sketch", "fp"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, node binary, n bigint, prefix array<bigint>, sketch binary, fp bigint")
+    return docs.mapInArrow(run, f"id {kind}, key binary, node binary, n bigint, sketch binary, fp bigint")
+
+
+def _prefixes(texts: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
+    """(s, node): the prefix shingles of each set (number, text)."""
+    ranked, often = _ranks(texts, size)
+
+    def prefix(found: np.ndarray) -> np.ndarray:
+        rank = np.zeros(len(found), np.int64)
+        if len(ranked) and len(found):
+            at = np.minimum(np.searchsorted(ranked, found), len(ranked) - 1)
+            rank = np.where(ranked[at] == found, often[at], 0)
+        first = np.argsort(rank, kind="stable")[: prefix_length(len(found), least)]
+        return found[first].view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_parts(batch, 1, 1 << 20):
+                found = [prefix(shingles(x, size)) for x in raw_texts(part.column(1))]
+                nodes = np.repeat(part.column(0).to_numpy(), [len(x) for x in found])
+                s = np.concatenate(found) if found else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(nodes)], ["s", "node"])
+
+    return texts.select("number", "text").mapInArrow(run, "s bigint, node bigint")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (s, node), s ascending, whose s is in several rows; one row is held back at a time."""
+    held, more = None, False  # the last row, and whether the row before it had its s
+    for batch in batches:
+        s, node = (c.to_numpy() for c in batch.columns)
+        if not len(s):
+            continue
+        if held is not None:
+            s, node = np.r_[held[0], s], np.r_[held[1], node]
+        same = s[1:] == s[:-1]
+        keep = np.r_[more, same] | np.r_[same, False]
+        yield pa.RecordBatch.from_arrays([pa.array(s[:-1][keep[:-1]]), pa.array(node[:-1][keep[:-1]])], ["s", "node"])
+        held, more = (s[-1:], node[-1:]), bool(keep[-1])
+    if held is not None and more:
+        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["s", "node"])
 
 
 class Members:
@@ -293,28 +321,50 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """The pairs whose shingle sets (number, shingles) are similar enough, counted on the sets themselves."""
+def _asked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows (number, text) with a number in ``wanted``.
+
+    A bit map of ``BITS`` hashed numbers leaves out most others before any text moves.
+    """
+    from pyspark.sql.types import BooleanType
+
+    place = F.pmod(F.xxhash64("number"), F.lit(BITS))
+    bits = np.zeros(BITS, bool)
+    bits[np.array(wanted.select(place.alias("bit")).distinct().toArrow()["bit"].to_numpy(), np.int64)] = True
+    packed = np.packbits(bits)
+
+    @F.pandas_udf(BooleanType())
+    def maybe(at: pd.Series) -> pd.Series:
+        at = at.to_numpy()
+        return pd.Series((packed[at >> 3] >> (7 - (at & 7))) & 1 > 0)
+
+    return texts.where(maybe(place)).join(wanted, "number", "left_semi")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
+    """The pairs whose shingle sets are similar enough, counted on the sets themselves."""
+    ends = pairs.select(F.col("a").alias("number")).unionByName(pairs.select(F.col("b").alias("number"))).distinct()
+    sets = saved(_sets(_asked(texts, saved(ends, "ends")), size), "sets")
     left, right = (sets.select(F.col("number").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_a", "_b"))
     enough = shared * sum(least) >= (F.size("_a") + F.size("_b")) * least[0]
-    return both.where(enough).select("a", "b").distinct()
+    found = saved(both.where(enough).select("a", "b").distinct(), "edges")
+    forget(sets)
+    return found
 
 
-def lists(marks: DataFrame, named: DataFrame) -> DataFrame:
+def lists(texts: DataFrame, named: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
     """(s, node): the sets with a prefix shingle in common and those of a SimHash class; of equal lists one is left."""
-    entries = marks.select(F.explode("prefix").alias("s"), "node")
-    # most shingles are in one set only
-    hashed = F.xxhash64("node")
-    common = entries.groupBy("s").agg(F.min(hashed).alias("x"), F.max(hashed).alias("y")).where("x <> y").select("s")
-    shared = entries.join(common, "s").distinct().join(named.select("node", "number"), "node")
+    width = shuffle_width(texts)
+    dealt = _prefixes(texts, size, least).repartition(width, "s").sortWithinPartitions("s")
+    shared = dealt.mapInArrow(_shared, "s bigint, node bigint")  # most shingles are in one set only
     groups = components(simhash.links(saved(named.select("fp").distinct(), "prints"))).withColumnRenamed("node", "fp")
     prints = named.groupBy("fp").agg(F.count("*").alias("rows")).join(groups, "fp", "left")
     prints = prints.where("rows > 1 OR root IS NOT NULL")
     of_class = F.xxhash64(F.lit("class"), F.coalesce("root", "fp")).alias("s")
     alike = named.select("fp", F.col("number").alias("node")).join(prints, "fp").select(of_class, "node")
-    entries = saved(shared.select("s", F.col("number").alias("node")).unionByName(alike), "entries")
+    entries = saved(shared.unionByName(alike), "entries")
     low = F.lit((1 << 32) - 1)
     hashes = [F.xxhash64(F.lit(seed), "node") for seed in (1, 2)]
     parts = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(low))]
@@ -324,23 +374,19 @@ def lists(marks: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def links(
-    docs: DataFrame, marks: DataFrame, named: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST
+    texts: DataFrame, marks: DataFrame, named: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST
 ) -> DataFrame:
     """(number, root): the classes of those sets of ``named`` that any similar pair joins to others.
 
-    ``docs`` has the texts (id, text), ``marks`` what is known of each, ``named`` a row for each set (number, node, id,
-    fp).  The texts move once, and only the sets in lists are kept.
+    ``texts`` has a text of each set (number, text), ``marks`` what is known of each document, ``named`` a row for each
+    set (number, node, fp).
     """
-    rows = lists(marks, named)
+    rows = lists(texts, named, size, least)
     listed = rows.select(F.col("node").alias("number")).distinct()
-    listed = saved(named.join(listed, "number", "left_semi").select("number", "node", F.col("id").alias("_id")), "listed")
-    names = listed.select("node", "number")
+    names = named.join(listed, "number", "left_semi").select("node", "number")
     sized = marks.select("node", "n", "sketch").join(names, "node").groupBy("number")
     sized = sized.agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sized = saved(sized.withColumnRenamed("number", "node"), "sized")
-    texts = docs.join(listed, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = _sets(texts, size).join(names, "node").groupBy("number").agg(F.first("shingles").alias("shingles"))
-    sets = saved(sets, "sets")
     roots = tried = None
 
     def rooted() -> DataFrame:
@@ -351,7 +397,7 @@ def links(
     def joined(pairs: DataFrame) -> bool:
         """Verify the pairs; whether any is similar."""
         nonlocal roots
-        found = saved(_verified(pairs, sets, least), "edges")
+        found = _verified(pairs, texts, size, least)
         if found.isEmpty():
             return False
         if roots is not None:  # classes so far are the nodes of what is new
@@ -398,13 +444,18 @@ def classes(
 
     Texts without words are one class.  A null id never names a component unless the whole component has none.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    marks = saved(_marks(rows, size, least), "marks")
-    named = marks.groupBy("node").agg(F.min("id").alias("id"), F.first("fp").alias("fp"))
+    key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("text"))
+    marks = saved(_marks(rows, size), "marks")
+    named = marks.groupBy("node").agg(F.min("id").alias("id"), F.min(F.hex("key")).alias("key"), F.first("fp").alias("fp"))
     named = saved(named.withColumn("number", F.monotonically_increasing_id()), "named")
-    roots = links(rows, marks, named, size, least)
+    # one text of each set; copies go before the texts move
+    texts = rows.select(F.hex("key").alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
+    texts = saved(texts.join(named.select("key", "number"), "key").select("number", "text"), "texts")
+    roots = links(texts, marks, named, size, least)
     named = named.select("node", "number", "id").join(roots, "number", "left")
     named = saved(named.withColumn("root", F.coalesce("root", "number")), "rooted")
     smallest = saved(named.groupBy("root").agg(F.min("id").alias("component")), "smallest")
     of_node = saved(named.join(smallest, "root").select("node", "number", "component"), "of-node")
+    forget(texts)
     return marks.select("id", "node").join(of_node, "node").select("id", "number", "component")
