@@ -17,7 +17,7 @@ from ..functions import text as T
 from ..models.closed_form import ClosedFormModel
 from ..models.classifier import EmbeddingClassifier, TextClassifier
 from ..models.factory import FAMILIES
-from ..models.search import SPACES, RandomSearch
+from ..models.search import SHARED, RandomSearch
 from ..operators import cascade, embedding, metrics, neighbors, quality, splits, tfidf, thresholds
 from ..session import checkpoint
 from ..sources.collection import VectorCollection, build_collection
@@ -576,10 +576,10 @@ def leaderboard_embedding_ml(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def search_results(spark: SparkSession, folder: str) -> DataFrame:
-    """Every search space over embeddings, with the search's own trials and folds, by recall."""
+    """The search spaces whose trials share their passes, over embeddings, with the search's own trials and folds."""
     p = Prepared.of(labelled(spark, folder))
     vectors, trials = checkpoint(_embedding_vectors(p, "train")), None
-    for name in SPACES:
+    for name in SHARED:
         search = RandomSearch(name, columns=EmbeddingClassifier.columns())
         search.optimize(vectors)
         found = search.results(spark).select(

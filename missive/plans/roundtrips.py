@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import splits, thresholds
+from ..models.classifier import EmbeddingClassifier, TextClassifier, load_classifier
+from ..operators import cascade, embedding, splits, thresholds
 from ..session import checkpoint
 from ..sources import tables
 from ..sources.messages import load_messages
@@ -13,6 +14,7 @@ from ..sources.tables import scratch_path
 from . import catalog, oracle
 from . import leaderboard as boards
 from .catalog import corpus, labelled, query, rounded, table
+from .comparison import report_lines
 from .prepare import Prepared
 
 
@@ -49,23 +51,24 @@ def array_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def embedding_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Both splits of an embedding table; each is read from its own folder."""
+    """Every value of both splits of an embedding table; each is read from its own folder."""
     path = scratch_path(spark, "embeddings")
     rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("msg_id"), "embedding")
     tables.save_embeddings(splits.split_hash(rows), path)
     parts = [tables.load_split(spark, path, s) for s in ("train", "test")]
     both = parts[0].unionByName(parts[1])
-    return both.select("msg_id", "split", F.size("embedding").cast("bigint").alias("dim"))
+    return rounded(both.select("msg_id", "split", F.posexplode("embedding").alias("dim", "value")))
 
 
 @query
 def feature_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Sparse TF-IDF weights of the test split, written for both and read from one folder."""
+    """Sparse TF-IDF weights of both splits; each is read from its own folder."""
     path = scratch_path(spark, "features")
     features = Prepared.of(labelled(spark, folder)).tfidf()
     train, test = (features.weights(s).withColumn("split", F.lit(s)) for s in ("train", "test"))
     tables.save_features(train.unionByName(test), path)
-    return rounded(tables.load_split(spark, path, "test").select("msg_id", "term", "weight"))
+    parts = [tables.load_split(spark, path, s) for s in ("train", "test")]
+    return rounded(parts[0].unionByName(parts[1]).select("msg_id", "split", "term", "weight"))
 
 
 @query
@@ -77,6 +80,64 @@ def threshold_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.load_json(spark, path, tuned.schema)
 
 
+@query
+def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Test scores of a text classifier that was fitted, saved and loaded."""
+    path = scratch_path(spark, "model")
+    features = Prepared.of(labelled(spark, folder)).tfidf()
+    TextClassifier(catalog.STAGE1).fit(checkpoint(features.vectors("train"))).save(path)
+    loaded = load_classifier(spark, path, TextClassifier.__name__)
+    return rounded(loaded.score(features.vectors("test")).select("msg_id", "y", "p", "pred"))
+
+
+def _saved_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    """Decisions of a cascade of two fitted classifiers that was saved and loaded with its thresholds."""
+    path = scratch_path(spark, "cascade")
+    p = Prepared.of(labelled(spark, folder))
+    features = p.tfidf()
+    text = TextClassifier(catalog.STAGE1).fit(checkpoint(features.vectors("train")))
+    vector = EmbeddingClassifier(catalog.STAGE2).fit(checkpoint(p.embedded("train", catalog.DIM)))
+    scored = text.score(features.vectors("train")).withColumn("p", F.round("p", catalog.DIGITS))
+    tuned = thresholds.cascade_thresholds(checkpoint(scored.select("msg_id", "y", "p", "pred")), digits=catalog.DIGITS).first()
+    limits = (tuned.stage1_low_threshold, tuned.stage1_high_threshold, tuned.stage2_threshold)
+    cascade.HybridCascade(text, vector, *limits).save(spark, path)
+
+    def encode(rows: DataFrame) -> DataFrame:
+        wanted = p.rows.join(rows.select("msg_id"), "msg_id", "left_semi")
+        weights = embedding.hash_weights(wanted, catalog.DIM, keep=("y",))
+        return embedding.densify(weights, wanted.select("msg_id", "y"), catalog.DIM)
+
+    loaded = cascade.HybridCascade.load(spark, path, encode)
+    return loaded.predict_with_metadata(features.vectors("test"))
+
+
+@query
+def cascade_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Decisions of a loaded cascade, to five digits: its scores are not rounded before it decides, those of the SQL are."""
+    real = ("confidence", "stage1_proba", "stage2_proba", "p")
+    return _saved_cascade(spark, folder).withColumns({c: F.round(c, catalog.DIGITS - 1) for c in real})
+
+
+@query
+def report_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of the evaluation report, written as text and read again."""
+    path = scratch_path(spark, "report")
+    routed = checkpoint(catalog._cascade(Prepared.of(labelled(spark, folder))))
+    comparison = catalog.final_comparison(spark, folder)
+    lines = report_lines(comparison, rounded(cascade.stage_metrics(routed)), rounded(cascade.stage_stats(routed)))
+    tables.save_report(lines, path)
+    return spark.read.text(path).select(F.monotonically_increasing_id().alias("n"), "value")
+
+
+@query
+def board_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The leaderboard as a CSV file with a header."""
+    path = scratch_path(spark, "board")
+    board = catalog.leaderboard(spark, folder)
+    tables.save_csv(board, path)
+    return tables.load_csv(spark, path, board.schema)
+
+
 @query
 def collection_answers(spark: SparkSession, folder: str) -> DataFrame:
     """The nearest entries of the collection, with document, label and split, for every vector."""
@@ -90,6 +151,14 @@ def top_five(spark: SparkSession, folder: str) -> DataFrame:
     return boards.top(catalog.leaderboard(spark, folder))
 
 
+_METRICS = ("accuracy", "precision", "recall", "f1", "f1_macro", "roc_auc", "avg_precision")
+
+
+def _lines(names) -> str:
+    """A metrics row as report lines."""
+    return "[model, " + ", ".join(f"'  {c}: ' || coalesce(printf('%.4f', {c}), '-')" for c in names) + "]"
+
+
 MESSAGES = "SELECT doc_id AS msg_id, text AS message FROM documents"
 SQL = {
     "csv_messages": oracle._with(oracle.MSGS, select="SELECT label, message FROM msgs"),
@@ -97,9 +166,27 @@ SQL = {
     "json_roundtrip": MESSAGES,
     "array_roundtrip": """SELECT vec_id, (i - 1)::INTEGER AS dim, round(embedding[i]::DOUBLE, 6) AS value
 FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""",
-    "embedding_roundtrip": f"""SELECT vec_id AS msg_id, {oracle._split('vec_id')} AS split, len(embedding) AS dim
-FROM embeddings""",
-    "feature_roundtrip": oracle.ORACLE["tfidf_test"],
+    "embedding_roundtrip": f"""SELECT msg_id, split, (i - 1)::INTEGER AS dim, round(embedding[i]::DOUBLE, 6) AS value
+FROM (SELECT vec_id AS msg_id, {oracle._split('vec_id')} AS split, embedding,
+             unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""",
+    "feature_roundtrip": f"""SELECT msg_id, 'train' AS split, term, weight FROM ({oracle.ORACLE['tfidf_train']})
+UNION ALL SELECT msg_id, 'test', term, weight FROM ({oracle.ORACLE['tfidf_test']})""",
+    "model_roundtrip": oracle._with(*oracle.SCORED, select="SELECT msg_id, y, round(p, 6) AS p, pred FROM scored"),
+    "cascade_roundtrip": f"""SELECT msg_id, y, prediction, round(confidence, 5) AS confidence, stage_used,
+       round(stage1_proba, 5) AS stage1_proba, round(stage2_proba, 5) AS stage2_proba, round(p, 5) AS p
+FROM ({oracle.ORACLE['cascade_rows']})""",
+    "board_roundtrip": oracle.ORACLE["leaderboard"],
+    "report_roundtrip": f"""WITH told AS (
+  SELECT 0 AS block, '' AS model, 0 AS part, 'Test rows by approach' AS value
+  UNION ALL SELECT 2, '', -1, 'Who decided in the cascade, and how well'
+  UNION ALL SELECT 1, model, unnest(range(0, {len(_METRICS) + 1})), unnest({_lines(_METRICS)})
+  FROM ({oracle.ORACLE['final_comparison']})
+  UNION ALL SELECT 2, '', unnest([0, 1]), unnest([
+    '  first stage decided ' || printf('%.1f', stage1_pct) || '%', '  second stage decided ' || printf('%.1f', stage2_pct) || '%'])
+  FROM ({oracle.ORACLE['stage_stats']})
+  UNION ALL SELECT 3, model, unnest(range(0, {len(_METRICS) + 1})), unnest({_lines(_METRICS)})
+  FROM ({oracle.ORACLE['stage_metrics']}))
+SELECT row_number() OVER (ORDER BY block, model, part) - 1 AS n, value FROM told""",
     "threshold_roundtrip": oracle.ORACLE["cascade_thresholds"],
     "collection_answers": f"""WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e, CASE WHEN label = 0 THEN 'ham' ELSE 'spam' END AS label,
