@@ -113,9 +113,8 @@ def _saved_cascade(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cascade_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Decisions of a loaded cascade, to five digits: its scores are not rounded before it decides, those of the SQL are."""
-    real = ("confidence", "stage1_proba", "stage2_proba", "p")
-    return _saved_cascade(spark, folder).withColumns({c: F.round(c, catalog.DIGITS - 1) for c in real})
+    """Decisions of a loaded cascade and the stages that made them."""
+    return _saved_cascade(spark, folder).select("msg_id", "y", "prediction", "stage_used")
 
 
 @query
@@ -172,9 +171,7 @@ FROM (SELECT vec_id AS msg_id, {oracle._split('vec_id')} AS split, embedding,
     "feature_roundtrip": f"""SELECT msg_id, 'train' AS split, term, weight FROM ({oracle.ORACLE['tfidf_train']})
 UNION ALL SELECT msg_id, 'test', term, weight FROM ({oracle.ORACLE['tfidf_test']})""",
     "model_roundtrip": oracle._with(*oracle.SCORED, select="SELECT msg_id, y, round(p, 6) AS p, pred FROM scored"),
-    "cascade_roundtrip": f"""SELECT msg_id, y, prediction, round(confidence, 5) AS confidence, stage_used,
-       round(stage1_proba, 5) AS stage1_proba, round(stage2_proba, 5) AS stage2_proba, round(p, 5) AS p
-FROM ({oracle.ORACLE['cascade_rows']})""",
+    "cascade_roundtrip": f"SELECT msg_id, y, prediction, stage_used FROM ({oracle.ORACLE['cascade_rows']})",
     "board_roundtrip": oracle.ORACLE["leaderboard"],
     "report_roundtrip": f"""WITH told AS (
   SELECT 0 AS block, '' AS model, 0 AS part, 'Test rows by approach' AS value
