@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,29 @@ from pyspark.sql import functions as F
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+#: Lists that take the scratch tables made while they are open.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The paths of the scratch tables that are made inside, for ``sweep``."""
+    _OPEN.append(paths := [])
+    try:
+        yield paths
+    finally:
+        _OPEN.remove(paths)
+
+
+def sweep(spark: SparkSession, paths: list[str], *keep: DataFrame | None) -> None:
+    """Remove scratch tables that nothing reads any more, all but those of ``keep``."""
+    kept = {t._scratch for t in keep if t is not None}
+    for path in [p for p in paths if p not in kept]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    paths[:] = kept.intersection(paths)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, removed when the driver's JVM ends.
 
@@ -31,6 +55,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    for paths in _OPEN:
+        paths.append(path)
     return path
 
 
@@ -46,9 +72,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def forget(*tables: DataFrame) -> None:
     """Remove tables that ``saved`` wrote and nothing reads any more."""
     for table in tables:
-        spark = table.sparkSession
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        sweep(table.sparkSession, [table._scratch])
 
 
 def shuffle_width(df: DataFrame) -> int:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import LOWER, components, forget, in_parts, placed, raw_texts, saved, shuffle_width
+from .common import LOWER, components, forget, in_parts, placed, raw_texts, saved, scratch, shuffle_width, sweep
 
 #: The least similarity as a fraction, so that 0.8 itself is decided without rounding.
 LEAST = (4, 5)
@@ -296,8 +296,8 @@ def _across(rows: DataFrame, every: bool, least: tuple[int, int]) -> DataFrame:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """(s, one, two, side, node, number, root, sketch): the rows (s, node, number, root, sketch) once for each pair of blocks that
-    they are in; ``side`` is 1 for the second block of a pair."""
+    """(s, one, two, side, node, number, root): the rows (s, node, number, root) once for each pair of blocks that they
+    are in; ``side`` is 1 for the second block of a pair."""
     level = F.floor(F.log(F.greatest("number", F.lit(1))) / np.log(1.25))
     sized = rows.withColumn("level", level)
     sized = sized.withColumn("group", F.concat_ws(":", "s", "level"))
@@ -312,7 +312,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     pairs = one.join(two, "s").where((same | (F.col("level1") + 1 == F.col("level2"))) & mixed)
     name = [F.concat_ws(":", f"level{k}", f"block{k}").alias(c) for k, c in ((1, "one"), (2, "two"))]
     pairs = saved(pairs.select("s", *name, "level1", "block1", "level2", "block2"), "block-pairs")
-    columns = ["s", "one", "two", "side", "node", "number", "root", "sketch"]
+    columns = ["s", "one", "two", "side", "node", "number", "root"]
     sides = []
     for k in (1, 2):
         wanted = pairs if k == 1 else pairs.where("one <> two")
@@ -381,7 +381,10 @@ def links(
     ``texts`` has a text of each set (number, text), ``marks`` what is known of each document, ``named`` a row for each
     set (number, node, fp).
     """
-    rows = lists(texts, named, size, least)
+    spark = texts.sparkSession
+    with scratch() as own:
+        rows = lists(texts, named, size, least)
+    sweep(spark, own, rows)
     listed = rows.select(F.col("node").alias("number")).distinct()
     names = named.join(listed, "number", "left_semi").select("node", "number")
     sized = marks.select("node", "n", "sketch").join(names, "node").groupBy("number")
@@ -412,26 +415,39 @@ def links(
         roots = saved(fresh, "roots")
         return True
 
-    for turn in range(TURNS):
+    def lead(turn: int) -> bool:
+        nonlocal tried
         now = saved(rooted(), "rooted")
         drawn = F.max_by(F.struct("node", "root"), F.struct(F.xxhash64(F.lit(turn), "node"), "node"))
         leaders = now.groupBy("s").agg(drawn.alias("l")).select("s", F.col("l.node").alias("lead"), F.col("l.root").alias("of"))
         pairs = now.join(leaders, "s").where(F.col("root") != F.col("of"))
         pairs = pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "leads")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if not joined(saved(_possible(pairs, sized, least), "possible")):
-            break
-    for every in (False, True):
+        pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "leads")
+        tried = pairs if tried is None else saved(tried.unionByName(pairs), "tried")
+        return joined(saved(_possible(pairs, sized, least), "possible"))
+
+    def meet(every: bool) -> None:
+        nonlocal tried
         now = rooted()
         mixed = now.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("s")
-        left = now.join(mixed, "s").join(sized, "node").select("s", "node", F.col("n").alias("number"), "root", "sketch")
-        pairs = _across(_blocks(left), every, least).join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "across")
-        tried = tried.unionByName(pairs)
+        numbers = sized.select("node", F.col("n").alias("number"))
+        blocks = _blocks(now.join(mixed, "s").join(numbers, "node").select("s", "node", "number", "root"))
+        pairs = _across(blocks.join(sized.select("node", "sketch"), "node"), every, least)
+        pairs = saved(pairs.join(tried, ["a", "b"], "left_anti"), "across")
+        tried = saved(tried.unionByName(pairs), "tried")
         joined(pairs)
+
+    # what a step wrote goes when it has ended, but for the classes and the pairs tried so far
+    with scratch() as own:
+        for turn in range(TURNS):
+            found = lead(turn)
+            sweep(spark, own, roots, tried)
+            if not found:
+                break
+        for every in (False, True):
+            meet(every)
+            sweep(spark, own, roots, tried)
+    forget(rows, sized)
     if roots is None:
         return named.select("number", F.col("number").alias("root")).limit(0)
     return roots.withColumnRenamed("node", "number")
