@@ -6,23 +6,45 @@ columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from missive.llm import decontam, lines, near, pieces, quality
-from missive.llm.common import saved
+from missive.llm.common import saved, scratch, sweep
 
 #: The stages fit a model, run graph rounds and search paths, which SQL cannot express; tests hold ``run`` against a
 #: brute-force version.
 ORACLE_SQL = None
 
 
+#: Scratch tables of the stage before: its result is written when the next stage begins.
+_before: list[str] = []
+
+
+def stage(function):
+    """A stage that removes the scratch tables of the one before."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        sweep(spark, _before)
+        with scratch() as paths:
+            out = function(spark, docs, sf_dir)
+        _before[:] = paths
+        return out
+
+    return run_stage
+
+
+@stage
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised classifier rejects go; those without a word are among them."""
     rated = quality.classify(docs)
     return rated.where(F.col("junk") <= quality.REJECT).select(*docs.columns)
 
 
+@stage
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are cut; a document of which no line is left goes.  n_chars follows."""
     cut = lines.dedup(docs).where(lines.removed_lines() < F.col("line_count"))
@@ -30,6 +52,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return sized.select(*docs.columns)
 
 
+@stage
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-copies stays (five-word shingles, Jaccard similarity of 0.8 or more): the
     smallest id, and of equal ids the smallest hash of the text.
@@ -57,12 +80,14 @@ def _same(docs: DataFrame, kept: DataFrame):
     )
 
 
+@stage
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth or more of their words in benchmark windows go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontam.scan(docs, items).where(~decontam.contaminated()).select(*docs.columns)
 
 
+@stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their ids, the number of ids, and whether decoding gives the text back."""
     both = pieces.decode(pieces.encode(docs))
@@ -81,6 +106,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for name, function in STAGES:
+        docs = saved(function(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
