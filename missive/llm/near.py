@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +42,6 @@ _FAR = np.iinfo(np.int64).max
 
 #: Turns in which lists draw leaders; members of a block at most, and the bytes of their sketches.
 TURNS, BLOCK, BLOCK_BYTES = 3, 256, 1 << 20
-#: Bits of the map of numbers that are asked for.
-BITS = 1 << 23
 
 
 def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
@@ -321,30 +318,10 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
-def _asked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows (number, text) with a number in ``wanted``.
-
-    A bit map of ``BITS`` hashed numbers leaves out most others before any text moves.
-    """
-    from pyspark.sql.types import BooleanType
-
-    place = F.pmod(F.xxhash64("number"), F.lit(BITS))
-    bits = np.zeros(BITS, bool)
-    bits[np.array(wanted.select(place.alias("bit")).distinct().toArrow()["bit"].to_numpy(), np.int64)] = True
-    packed = np.packbits(bits)
-
-    @F.pandas_udf(BooleanType())
-    def maybe(at: pd.Series) -> pd.Series:
-        at = at.to_numpy()
-        return pd.Series((packed[at >> 3] >> (7 - (at & 7))) & 1 > 0)
-
-    return texts.where(maybe(place)).join(wanted, "number", "left_semi")
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
     """The pairs whose shingle sets are similar enough, counted on the sets themselves."""
     ends = pairs.select(F.col("a").alias("number")).unionByName(pairs.select(F.col("b").alias("number"))).distinct()
-    sets = saved(_sets(_asked(texts, saved(ends, "ends")), size), "sets")
+    sets = saved(_sets(texts.join(saved(ends, "ends"), "number", "left_semi"), size), "sets")
     left, right = (sets.select(F.col("number").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_a", "_b"))
