@@ -88,12 +88,16 @@ def assign(
 
     Loads are rows, or the sum of the column ``weight`` (a positive integer); a row goes where its first unit of load
     falls, so with weights a shard exceeds its bound by less than one row.  With no slack and no weight the shards' row
-    counts differ by one at most.  Null keys hash like any value; identical rows are interchangeable.
+    counts differ by one at most.  Null keys hash like any value; identical rows are interchangeable.  Columns named
+    ``shard`` or ``slot`` are an error, any other name is kept.
     """
     for name in ("shard", "slot"):
         if name in docs.columns:
             raise ValueError(f"the documents already have a column {name}")
-    own = docs.columns
+    # the caller's columns are numbered until the end, so that no name meets one of those added here
+    names, own = docs.columns, [f"c{k}" for k in range(len(docs.columns))]
+    numbered = dict(zip(names, own))
+    docs, key, weight = docs.toDF(*own), [numbered[c] for c in key], numbered[weight] if weight else None
     keyed = docs.select(
         *own,
         F.expr(f"cast(shiftrightunsigned({_hash(key)}, {64 - ring_bits}) as int)").alias("_bin"),
@@ -129,7 +133,8 @@ def assign(
         used[shard] += n
     shift = docs.sparkSession.createDataFrame(starts, "_bin int, _sub int, _low bigint, _shift bigint")
     slotted = met.join(F.broadcast(shift), [*on, "_low"])
-    return slotted.select(*own, "shard", (F.col("_rank") + F.col("_shift")).cast("bigint").alias("slot"))
+    slot = (F.col("_rank") + F.col("_shift")).cast("bigint")
+    return slotted.select(*own, "shard", slot.alias("slot")).toDF(*names, "shard", "slot")
 
 
 def _hash(columns: list[str]) -> str:

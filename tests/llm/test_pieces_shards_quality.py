@@ -135,3 +135,18 @@ def test_quality_edges(docs, edges):
     assert quality.classify(docs([])).collect() == []
     with pytest.raises(ValueError, match="already"):
         quality.classify(docs(["a"]).withColumnRenamed("lang", "junk"))
+
+
+def test_shards_keep_columns_of_any_name(spark):
+    plain = spark.range(300).select("id", (F.col("id") % 7).alias("w"))
+    plain = plain.withColumn("w", F.col("w") + 1)
+    clashing = ("_bin", "_sub", "_low", "_high", "_shift", "_rank", "_at", "load", "c0", "n", "first")
+    for weight in (None, "w"):
+        wide = plain
+        for name in clashing:
+            wide = wide.withColumn(name, F.lit(99))
+        found = shards.assign(wide, ["id"], 4, weight=weight)
+        assert found.columns == [*wide.columns, "shard", "slot"]
+        assert found.where(" OR ".join(f"{c} <> 99" for c in clashing)).count() == 0 and found.count() == 300
+        slots = found.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("m"), F.min("slot").alias("l")).collect()
+        assert all(r["m"] == r["n"] - 1 and r["l"] == 0 for r in slots)
