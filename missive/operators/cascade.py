@@ -87,9 +87,15 @@ class HybridCascade:
     """Two fitted models and three thresholds.
 
     ``stage1`` and ``stage2`` have ``score(df) -> df + (p, pred)``.  ``encode`` turns the uncertain rows into
-    stage 2's input; by default they carry it already.
+    stage 2's input; by default they carry it already.  Thresholds that were tuned on rounded scores need ``digits``:
+    both scores are rounded to as many before they are compared.
     """
 
+    CONFIG = (
+        "stage1_low_threshold double, stage1_high_threshold double, stage2_threshold double, "
+        "stage1_kind string, stage2_kind string, digits int"
+    )
+
     def __init__(
         self,
         stage1,
@@ -99,6 +105,7 @@ class HybridCascade:
         stage2_threshold: float = S.STAGE2_THRESHOLD,
         encode: Callable[[DataFrame], DataFrame] | None = None,
         id_col: str = "msg_id",
+        digits: int | None = None,
     ):
         self.stage1 = stage1
         self.stage2 = stage2
@@ -107,17 +114,22 @@ class HybridCascade:
         self.stage2_threshold = stage2_threshold
         self.encode = encode
         self.id_col = id_col
+        self.digits = digits
+
+    def _scores(self, stage, df: DataFrame) -> DataFrame:
+        scored = stage.score(df)
+        return scored if self.digits is None else scored.withColumn("p", F.round("p", self.digits))
 
     def fit(self, df: DataFrame) -> HybridCascade:
         """Both stages are fitted already."""
         return self
 
     def predict_with_metadata(self, df: DataFrame) -> DataFrame:
-        scored = self.stage1.score(df)
+        scored = self._scores(self.stage1, df)
         unsure = uncertain(scored, self.stage1_low_threshold, self.stage1_high_threshold).drop("p", "pred")
         if self.encode is not None:
             unsure = self.encode(unsure)
-        second = self.stage2.score(unsure).select(self.id_col, "p")
+        second = self._scores(self.stage2, unsure).select(self.id_col, "p")
         keep = [c for c in (self.id_col, "y") if c in scored.columns]
         return cascade_rows(
             scored.select(*keep, "p"),
@@ -146,18 +158,15 @@ class HybridCascade:
             "stage2_threshold": self.stage2_threshold,
             "stage1_kind": type(self.stage1).__name__,
             "stage2_kind": type(self.stage2).__name__,
+            "digits": self.digits,
         }
-        spark.createDataFrame([config]).coalesce(1).write.mode("overwrite").json(f"{directory}/config")
+        spark.createDataFrame([config], self.CONFIG).coalesce(1).write.mode("overwrite").json(f"{directory}/config")
 
     @classmethod
     def load(cls, spark, directory: str, encode: Callable[[DataFrame], DataFrame] | None = None) -> HybridCascade:
         from ..models.classifier import load_classifier
 
-        schema = (
-            "stage1_low_threshold double, stage1_high_threshold double, stage2_threshold double, "
-            "stage1_kind string, stage2_kind string"
-        )
-        config = spark.read.schema(schema).json(f"{directory}/config").first()
+        config = spark.read.schema(cls.CONFIG).json(f"{directory}/config").first()
         return cls(
             load_classifier(spark, f"{directory}/stage1", config.stage1_kind),
             load_classifier(spark, f"{directory}/stage2", config.stage2_kind),
@@ -165,4 +174,5 @@ class HybridCascade:
             config.stage1_high_threshold,
             config.stage2_threshold,
             encode,
+            digits=config.digits,
         )

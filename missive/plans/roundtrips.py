@@ -95,20 +95,21 @@ def _saved_cascade(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "cascade")
     p = Prepared.of(labelled(spark, folder))
     features = p.tfidf()
-    text = TextClassifier(catalog.STAGE1).fit(checkpoint(features.vectors("train")))
-    vector = EmbeddingClassifier(catalog.STAGE2).fit(checkpoint(p.embedded("train", catalog.DIM)))
-    scored = text.score(features.vectors("train")).withColumn("p", F.round("p", catalog.DIGITS))
+    train, test = (checkpoint(features.vectors(split)) for split in ("train", "test"))
+    text = TextClassifier(catalog.STAGE1).fit(train)
+    vector = EmbeddingClassifier(catalog.STAGE2).fit(checkpoint(p.embedded("train", catalog.DIM, "double")))
+    scored = text.score(train).withColumn("p", F.round("p", catalog.DIGITS))
     tuned = thresholds.cascade_thresholds(checkpoint(scored.select("msg_id", "y", "p", "pred")), digits=catalog.DIGITS).first()
     limits = (tuned.stage1_low_threshold, tuned.stage1_high_threshold, tuned.stage2_threshold)
-    cascade.HybridCascade(text, vector, *limits).save(spark, path)
+    cascade.HybridCascade(text, vector, *limits, digits=catalog.DIGITS).save(spark, path)
 
     def encode(rows: DataFrame) -> DataFrame:
         wanted = p.rows.join(rows.select("msg_id"), "msg_id", "left_semi")
         weights = embedding.hash_weights(wanted, catalog.DIM, keep=("y",))
-        return embedding.densify(weights, wanted.select("msg_id", "y"), catalog.DIM)
+        return embedding.densify(weights, wanted.select("msg_id", "y"), catalog.DIM, element="double")
 
     loaded = cascade.HybridCascade.load(spark, path, encode)
-    return loaded.predict_with_metadata(features.vectors("test"))
+    return loaded.predict_with_metadata(test)
 
 
 @query

@@ -86,3 +86,24 @@ def test_a_missing_score_is_an_error(spark):
     second = spark.createDataFrame([(2, 0.4)], "msg_id bigint, p double")
     with pytest.raises(Exception, match="stage-2 score"):
         cascade.cascade_rows(first, second).collect()
+
+
+class Scores:
+    """A stage whose scores stand in a column."""
+
+    def __init__(self, column):
+        self.column = column
+
+    def score(self, df):
+        return df.withColumn("p", F.col(self.column)).withColumn("pred", (F.col("p") > 0.5).cast("int"))
+
+
+def test_decisions_compare_scores_as_the_thresholds_were_rounded(spark, rows, tmp_path):
+    sure = [(1, 0, 0.2500003, 0.9), (2, 1, 0.7499997, 0.1)]  # at the thresholds, but for the digits that these lack
+    table = spark.createDataFrame([*sure, (3, 1, 0.5, 0.4999997)], "msg_id bigint, y int, a double, b double")
+    hybrid = cascade.HybridCascade(Scores("a"), Scores("b"), 0.25, 0.75, digits=6)
+    found = hybrid.predict_with_metadata(table).orderBy("msg_id").select("prediction", "stage_used").collect()
+    assert [tuple(r) for r in found] == [(0, 1), (1, 1), (1, 2)]
+    fitted = TextClassifier("NearestCentroid").fit(rows), EmbeddingClassifier("GaussianNB").fit(rows)
+    cascade.HybridCascade(*fitted, digits=6).save(spark, str(tmp_path / "d"))
+    assert cascade.HybridCascade.load(spark, str(tmp_path / "d")).digits == 6
