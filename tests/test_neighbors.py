@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from missive.operators.neighbors import knn_join, nearest
+from missive.operators.neighbors import _groups, knn_join, nearest
 
 
 def vectors(spark, x, start=0):
@@ -79,3 +79,11 @@ def test_far_from_the_origin_is_as_exact(spark):
     for r in got:
         assert r.id == np.lexsort((np.arange(300), true[r.query_id]))[r["rank"] - 1]
     assert len(got) == 1500
+
+
+def test_queries_are_copied_once_for_each_block(spark):
+    """Without clusters every cell may hold a nearest row; cells that share a block get one copy of a query."""
+    frame = vectors(spark, np.random.default_rng(3).normal(size=(2000, 32)))
+    found = knn_join(frame, frame, 5, query_id="id", block_rows=1000)
+    assert found.count() == 10_000
+    assert _groups([45] * 44, 1000).max() == 1 and list(_groups([5, 1, 1, 9, 1], 4)) == [0, 1, 1, 2, 3]
