@@ -82,6 +82,16 @@ def test_exploded_terms_are_not_shuffled(spark, docs):
     assert "Python" not in plan
 
 
+def test_terms_are_counted_where_they_stand(spark, docs):
+    stats = tfidf.text_stats(docs)
+    assert sorted(stats.collect()) == sorted(tfidf.term_stats(tfidf.term_counts(docs)).collect())
+    plan = tfidf.text_stats(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(term" in plan
+    vocab = spark.createDataFrame([("call",), ("free prize",)], "term string")
+    known = tfidf.term_counts(docs).join(vocab, "term", "left_semi").select("msg_id", "term", "tf")
+    assert sorted(tfidf.known_counts(docs, vocab).collect()) == sorted(known.collect())
+
+
 def test_hash_embedding(spark, docs):
     dim = 16
     got = {r.msg_id: np.array(r.embedding) for r in embedding.hash_embedding(docs, dim).collect()}
