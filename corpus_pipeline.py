@@ -90,7 +90,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 @stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their ids, the number of ids, and whether decoding gives the text back."""
-    both = pieces.decode(pieces.encode(docs))
+    both = pieces.encode(docs, decoded="decoded")
     restored = F.col("decoded") == F.coalesce("text", F.lit(""))
     return both.select(*docs.columns, "ids", F.size("ids").alias("n_tokens"), restored.alias("restored"))
 

@@ -32,7 +32,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pieces in a vocabulary that is sent to the workers.
 MAX_PIECES = 1_000_000
 #: Runs remembered by a worker; the memo starts anew when it is full.  Longer runs are never remembered.
-MEMO_RUNS, MEMO_CHARS = 500_000, 64
+MEMO_RUNS, MEMO_CHARS = 100_000, 64
 #: An unknown character costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 _LETTER, _OTHER = r"[^\W\d_²³¹]", r"(?:[\W\d_²³¹])"
@@ -182,14 +182,21 @@ def _field(docs: DataFrame, name: str) -> str:
 
 
 def encode(
-    docs: DataFrame, model_file: str = DEFAULT_MODEL, text_col: str = "text", out: str = "ids"
+    docs: DataFrame,
+    model_file: str = DEFAULT_MODEL,
+    text_col: str = "text",
+    out: str = "ids",
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` with the array column ``out``.  A null text is encoded as an empty one: no ids.
 
-    No shuffle; other columns stay.  A column that is already called ``out`` is an error.
+    ``decoded`` names a further column for the text that these ids spell, so that both ways share a worker.
+
+    No shuffle; other columns stay.  A column that is already called ``out`` or ``decoded`` is an error.
     """
-    if out in docs.columns:
-        raise ValueError(f"the documents already have a column {out}")
+    for name in (out, decoded):
+        if name in docs.columns:
+            raise ValueError(f"the documents already have a column {name}")
     shared = docs.sparkSession.sparkContext.broadcast(load(model_file))
     names = docs.columns
 
@@ -202,12 +209,14 @@ def encode(
             rows = [encode_text(t.decode(), model, memo) for t in raw_texts(column)]
             ends = np.cumsum([0, *map(len, rows)])
             flat = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32), pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+            added = {out: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)}
+            if decoded:
+                added[decoded] = pa.array([decode_ids(row, model["surface"]) for row in rows], pa.string())
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*arrays, lists], [*names, out])
+            yield pa.RecordBatch.from_arrays([*arrays, *added.values()], [*names, *added])
 
-    fields = ", ".join(_field(docs, c) for c in names)
-    return docs.mapInArrow(run, f"{fields}, `{out}` array<int>")
+    fields = ", ".join([*(_field(docs, c) for c in names), f"`{out}` array<int>"])
+    return docs.mapInArrow(run, f"{fields}, `{decoded}` string" if decoded else fields)
 
 
 def decode(

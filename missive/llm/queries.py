@@ -82,7 +82,7 @@ def op6_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_pieces(spark: SparkSession, folder: str, model_file: str = pieces.DEFAULT_MODEL) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = pieces.decode(pieces.encode(docs, model_file), model_file)
+    both = pieces.encode(docs, model_file, decoded="decoded")
     return both.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),

@@ -150,3 +150,12 @@ def test_shards_keep_columns_of_any_name(spark):
         assert found.where(" OR ".join(f"{c} <> 99" for c in clashing)).count() == 0 and found.count() == 300
         slots = found.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("m"), F.min("slot").alias("l")).collect()
         assert all(r["m"] == r["n"] - 1 and r["l"] == 0 for r in slots)
+
+
+def test_both_ways_share_a_worker(docs, edges):
+    apart = pieces.decode(pieces.encode(docs(edges)))
+    together = pieces.encode(docs(edges), decoded="decoded")
+    assert sorted(map(str, together.select(*apart.columns).collect())) == sorted(map(str, apart.collect()))
+    assert str(together._jdf.queryExecution().optimizedPlan()).count("MapInArrow") == 1
+    with pytest.raises(ValueError, match="already"):
+        pieces.encode(docs(["a"]), decoded="text")
