@@ -10,7 +10,7 @@ their scores, then get Zipf's, log(1 / (rank * H)).  Characters that no piece ha
 sign U+2581 itself as well, so decoding restores every text exactly.
 
 Short runs recur, so a run between two positions that no piece of the vocabulary can span is looked up in a bounded
-memo first; the search itself only sees a run once in a while.
+memo first; the search itself only sees a run once in a while, and then whole, without a window.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from .common import in_parts, raw_texts
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pieces in a vocabulary that is sent to the workers.
 MAX_PIECES = 1_000_000
-#: Runs remembered by a worker; the memo starts anew when it is full.  Longer runs are never remembered.
-MEMO_RUNS, MEMO_CHARS = 100_000, 64
+#: Runs of a memo's generation, of which a worker holds two.  Longer runs are never remembered.
+MEMO_RUNS, MEMO_CHARS = 150_000, 64
 #: An unknown character costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 _LETTER, _OTHER = r"[^\W\d_²³¹]", r"(?:[\W\d_²³¹])"
@@ -144,17 +144,46 @@ def _trace(text: str, base: int, end: int, back: list[int], ids: list[int], byte
     return out[::-1]
 
 
+def best_path(run: str, model: dict) -> list[int]:
+    """The ids that ``viterbi`` finds, of a short text that needs no window."""
+    look, unknown, size = model["pieces"].get, model["unknown"], len(run)
+    best, back, ids = [-math.inf] * (size + 1), [0] * (size + 1), [-1] * (size + 1)
+    best[0] = 0
+    for at in range(size):
+        score, end = best[at], at + 1
+        piece = look(run[at:end], 0)
+        if not piece and score + unknown >= best[end]:  # no piece of one character
+            best[end], back[end], ids[end] = score + unknown, at, -1
+        while piece != 0:
+            if piece is not None:
+                value, name = piece
+                if score + value >= best[end]:
+                    best[end], back[end], ids[end] = score + value, at, name
+            if end == size:
+                break
+            end += 1
+            piece = look(run[at:end], 0)
+    return _trace(run, 0, size, back, ids, model["bytes"])
+
 
 class Memo(dict):
-    """Ids of short runs as bytes of 32-bit numbers, filled by the search."""
+    """Ids of short runs as bytes of 32-bit numbers, filled by the search.
+
+    When it is full it becomes the older generation; runs that come again move to the new one, the others are forgotten.
+    """
 
     def __init__(self, model: dict):
-        self.model = model
+        self.model, self.older = model, {}
 
     def __missing__(self, run: str) -> bytes:
-        ids = array("i", chain.from_iterable(viterbi(run, self.model))).tobytes()
-        if len(run) <= MEMO_CHARS:
+        short = len(run) <= MEMO_CHARS
+        ids = self.older.get(run)
+        if ids is None:
+            found = best_path(run, self.model) if short else chain.from_iterable(viterbi(run, self.model))
+            ids = array("i", found).tobytes()
+        if short:
             if len(self) >= MEMO_RUNS:
+                self.older = dict(self)
                 self.clear()
             self[run] = ids
         return ids

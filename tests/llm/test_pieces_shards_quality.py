@@ -44,6 +44,18 @@ def test_streaming_search_is_the_whole_search(model):
         assert len(text) < 100 or len(parts) > 1
 
 
+def test_memo_keeps_runs_that_come_again(model, monkeypatch):
+    searched, plain = [], pieces.best_path
+    monkeypatch.setattr(pieces, "best_path", lambda run, m: searched.append(run) or plain(run, m))
+    monkeypatch.setattr(pieces, "MEMO_RUNS", 3)
+    memo = pieces.Memo(model)
+    for seldom in ("one", "two", "three", "four", "five", "six", "seven"):
+        for run in (" the", seldom):
+            assert memo[run] == pieces.array("i", whole_search(run, model)).tobytes()
+    assert searched.count(" the") == 1  # a memo that starts anew when full searches it again
+    assert len(memo) <= 3 and len(memo.older) <= 3
+
+
 def test_ids_are_the_librarys_for_the_same_unigram_model(model, tmp_path):
     pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
     from sentencepiece import SentencePieceProcessor
