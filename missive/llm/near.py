@@ -5,13 +5,15 @@ the pigeonhole leaves blocks of five bits, a thirty-second of all rows in each c
 
 Candidates come from prefixes.  All shingles have one order, seldom ones first; two similar sets of sizes m and n share
 a shingle among the first m - ceil(0.8 m) + 1 and n - ceil(0.8 n) + 1.  The order is taken from a sample, which decides
-about speed only.  Sets with a common prefix shingle form a list.  The classes of SimHash fingerprints (``simhash``, over
+about speed only.  Sets with a common prefix shingle form a list, which is cut where sizes, and what is left of the sets
+from that shingle on, exclude the similarity (``_shared``).  The classes of SimHash fingerprints (``simhash``, over
 five-word shingles too) are lists as well: they bring near-copies together first.  A parity sketch (one bit for each of
 some 4 n bins of the hashes) bounds the difference of two sets from below: the differing bits never exceed the differing
 shingles.
 
 Lists don't become pairs, whatever their size.  First every list has a leader, the others are compared with it alone, and
-what is similar grows together; each turn draws other leaders.  Then only members of different classes are left to
+what is similar grows together; each turn draws other leaders.  What a leader was compared with is settled: it leaves its
+list, and lists within one class go.  Then only members of different classes are left to
 compare: a list is cut into blocks of bounded size by size class (a factor of 1.25: similar sets are in the same or the
 next one) and class so far, and two blocks meet only if they hold different classes.  Of two classes the nearest members
 are verified first, and all others only if these don't join them.
@@ -39,6 +41,7 @@ SAMPLE_ROWS, RANKED = 16_384, 100_000
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 _FAR = np.iinfo(np.int64).max
+_ODD = np.int64(0x1E3779B97F4A7C15)
 
 #: Turns in which lists draw leaders; members of a block at most, and the bytes of their sketches.
 TURNS, BLOCK, BLOCK_BYTES = 3, 256, 1 << 20
@@ -80,6 +83,12 @@ def prefix_length(n: int, least: tuple[int, int] = LEAST) -> int:
     return n + (-n * least[0] // least[1]) + 1 if n else 0
 
 
+def largest(n: int, at: np.ndarray, least: tuple[int, int] = LEAST) -> np.ndarray:
+    """The sizes of the largest sets to which one of ``n`` shingles can be similar, if the first that both have is its
+    shingle ``at``: they have n - at in common at most."""
+    return np.maximum(sum(least) * (n - at) // least[0] - n, 0)
+
+
 def sketch(found: np.ndarray) -> bytes:
     """The parities of the bins; their number is a power of two, four times the set or more."""
     bins = 1 << max(6, (4 * len(found) - 1).bit_length()) if len(found) else 64
@@ -135,33 +144,53 @@ def _marks(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _prefixes(texts: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """(s, node): the prefix shingles of each set (number, text)."""
+    """(s, node, n, most): the prefix shingles of each set (number, text), its size, and the ``largest`` one by them."""
     ranked, often = _ranks(texts, size)
 
-    def prefix(found: np.ndarray) -> np.ndarray:
+    def prefix(found: np.ndarray) -> tuple[np.ndarray, int]:
         rank = np.zeros(len(found), np.int64)
         if len(ranked) and len(found):
             at = np.minimum(np.searchsorted(ranked, found), len(ranked) - 1)
             rank = np.where(ranked[at] == found, often[at], 0)
         first = np.argsort(rank, kind="stable")[: prefix_length(len(found), least)]
-        return found[first].view(np.int64)
+        return found[first].view(np.int64), len(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in in_parts(batch, 1, 1 << 20):
                 found = [prefix(shingles(x, size)) for x in raw_texts(part.column(1))]
-                nodes = np.repeat(part.column(0).to_numpy(), [len(x) for x in found])
-                s = np.concatenate(found) if found else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(nodes)], ["s", "node"])
+                if not found:
+                    continue
+                counts = [len(x) for x, _ in found]
+                s = np.concatenate([x for x, _ in found])
+                most = np.concatenate([largest(n, np.arange(len(x)), least) for x, n in found])
+                columns = s, np.repeat(part.column(0).to_numpy(), counts), np.repeat([n for _, n in found], counts), most
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["s", "node", "n", "most"])
 
-    return texts.select("number", "text").mapInArrow(run, "s bigint, node bigint")
+    return texts.select("number", "text").mapInArrow(run, "s bigint, node bigint, n bigint, most bigint")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (s, node), s ascending, whose s is in several rows; one row is held back at a time."""
-    held, more = None, False  # the last row, and whether the row before it had its s
+    """(s, node): the lists of the rows (s, node, n, most), which ascend by s and n; one row is held back at a time.
+
+    A list is cut before a size that is larger than any ``most`` before it, and a row whose ``most`` is smaller than the
+    first size of its list goes: neither side has a pair that the other one allows.  Each list has its own s.
+    """
+    last = None  # of the last row: s, the largest ``most`` of its s so far, the first size of its list
+    held, more = None, False  # the last row kept, and whether the one before it was of its list
     for batch in batches:
-        s, node = (c.to_numpy() for c in batch.columns)
+        s, node, n, most = (c.to_numpy() for c in batch.columns)
+        if not len(s):
+            continue
+        new = np.r_[last is None or s[0] != last[0], s[1:] != s[:-1]]
+        group = np.cumsum(new) << 40  # above all sizes, so that one running maximum serves all groups
+        before = last[1:] if last else (0, 0)
+        reach = np.maximum.accumulate(np.r_[before[0], group + most])
+        cut = new | (n > reach[:-1] - group)
+        first = np.r_[before[1], n[cut]][np.cumsum(cut)]
+        last = s[-1], reach[-1] - group[-1], first[-1]
+        alive = most >= first
+        s, node = (s ^ (first * _ODD))[alive], node[alive]
         if not len(s):
             continue
         if held is not None:
@@ -332,9 +361,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: tuple[int, i
 
 
 def lists(texts: DataFrame, named: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """(s, node): the sets with a prefix shingle in common and those of a SimHash class; of equal lists one is left."""
+    """(s, node): the sets that a common prefix shingle may make similar, and those of a SimHash class; of equal lists
+    one is left."""
     width = shuffle_width(texts)
-    dealt = _prefixes(texts, size, least).repartition(width, "s").sortWithinPartitions("s")
+    dealt = _prefixes(texts, size, least).repartition(width, "s").sortWithinPartitions("s", "n")
     shared = dealt.mapInArrow(_shared, "s bigint, node bigint")  # most shingles are in one set only
     groups = components(simhash.links(saved(named.select("fp").distinct(), "prints"))).withColumnRenamed("node", "fp")
     prints = named.groupBy("fp").agg(F.count("*").alias("rows")).join(groups, "fp", "left")
@@ -368,11 +398,13 @@ def links(
     sized = sized.agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sized = saved(sized.withColumnRenamed("number", "node"), "sized")
     roots = tried = None
+    rest = rows  # without what is settled
 
     def rooted() -> DataFrame:
+        listed = rest.select("s", "node")
         if roots is None:
-            return rows.withColumn("root", F.col("node"))
-        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            return listed.withColumn("root", F.col("node"))
+        return listed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def joined(pairs: DataFrame) -> bool:
         """Verify the pairs; whether any is similar."""
@@ -393,11 +425,13 @@ def links(
         return True
 
     def lead(turn: int) -> bool:
-        nonlocal tried
+        nonlocal tried, rest
         now = saved(rooted(), "rooted")
         drawn = F.max_by(F.struct("node", "root"), F.struct(F.xxhash64(F.lit(turn), "node"), "node"))
-        leaders = now.groupBy("s").agg(drawn.alias("l")).select("s", F.col("l.node").alias("lead"), F.col("l.root").alias("of"))
-        pairs = now.join(leaders, "s").where(F.col("root") != F.col("of"))
+        leaders = now.groupBy("s").agg(drawn.alias("l"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+        leaders = leaders.select("s", F.col("l.node").alias("lead"), F.col("l.root").alias("of"))
+        rest = saved(now.join(leaders, "s").where("node <> lead"), "rest")
+        pairs = rest.where(F.col("root") != F.col("of"))
         pairs = pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "leads")
         tried = pairs if tried is None else saved(tried.unionByName(pairs), "tried")
@@ -418,12 +452,12 @@ def links(
     with scratch() as own:
         for turn in range(TURNS):
             found = lead(turn)
-            sweep(spark, own, roots, tried)
+            sweep(spark, own, roots, tried, rest)
             if not found:
                 break
         for every in (False, True):
             meet(every)
-            sweep(spark, own, roots, tried)
+            sweep(spark, own, roots, tried, rest)
     forget(rows, sized)
     if roots is None:
         return named.select("number", F.col("number").alias("root")).limit(0)

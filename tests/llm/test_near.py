@@ -93,3 +93,53 @@ def test_bounds_never_exceed_the_difference():
 
 def test_empty_table(docs):
     assert near.classes(docs([])).collect() == []
+
+
+def test_lists_hold_what_can_be_similar_only():
+    """Of two sets with a shingle in common one list holds both if sizes and places allow it; far sizes make no list."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    s, n = rng.integers(-40, 40, 600), rng.integers(1, 300, 600)
+    at = (rng.random(600) * [near.prefix_length(int(k)) for k in n]).astype(np.int64)
+    most = np.array([near.largest(int(k), a) for k, a in zip(n, at)])
+    order = np.lexsort((n, s))
+    columns = [x[order] for x in (s, np.arange(600), n, most)]
+    for rows in (1, 7, 600):
+        parts = [pa.RecordBatch.from_arrays([pa.array(x[k : k + rows]) for x in columns], ["s", "node", "n", "most"])
+                 for k in range(0, 600, rows)]
+        lists = {}
+        for batch in near._shared(iter(parts)):
+            for key, node in zip(*(c.to_pylist() for c in batch.columns)):
+                lists.setdefault(key, set()).add(node)
+        together = {(a, b) for found in lists.values() for a in found for b in found}
+        for a in range(600):
+            for b in range(a):
+                if s[a] == s[b] and n[a] <= most[b] and n[b] <= most[a]:
+                    assert (a, b) in together
+        assert all(len(found) > 1 for found in lists.values())
+        assert sum(map(len, lists.values())) < 500
+    far = pa.RecordBatch.from_arrays([pa.array(x) for x in ([1, 1], [1, 2], [10, 20], [12, 25])], ["s", "node", "n", "most"])
+    assert sum(b.num_rows for b in near._shared(iter([far]))) == 0
+
+
+def test_largest_is_the_largest_similar_size():
+    for n in range(1, 60):
+        for at in range(near.prefix_length(n)):
+            fits = [m for m in range(1, 100) if 9 * min(n - at, m) >= 4 * (n + m)]
+            assert near.largest(n, np.array([at]))[0] >= max(fits, default=0)
+
+
+def test_leaders_settle_lists_of_two(docs, monkeypatch):
+    """Pairs that share shingles but aren't similar are compared in the first turn and never again."""
+    kept, plain = [], near.saved
+    monkeypatch.setattr(near, "saved", lambda df, name: kept.append((name, plain(df, name))) or kept[-1][1])
+    rows = []
+    monkeypatch.setattr(near, "sweep", lambda *_: rows.append([t.count() for n, t in kept if n == "rooted"]))
+    texts = copies(11, 1, 100)[:3]
+    for k in range(20):
+        common = [f"c{k}{j}" for j in range(60)]
+        texts += [" ".join([*common, *(f"{side}{k}{j}" for j in range(20))]) for side in "ab"]
+    found = near.classes(docs(texts)).collect()
+    assert [r["component"] for r in sorted(found, key=lambda r: r["id"])] == brute_near(texts)
+    assert rows[-1][0] > 0 and all(n < rows[-1][0] for n in rows[-1][1:])
