@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from missive.functions.text import hash_bucket
 from missive.operators import embedding, tfidf
+from missive.plans.prepare import Prepared
+from missive.session import checkpoint
 
 TEXTS = [
     (1, "free prize call now call"),
@@ -115,3 +117,17 @@ def test_plugged_in_encoder(spark, docs):
     got = {r.msg_id: r.embedding for r in generator.generate(docs, batch_size=2).collect()}
     assert got == {i: [len(t), t.count(" ")] for i, t in TEXTS}
     assert generator.embedding_dim() == 2 and embedding.EmbeddingGenerator().embedding_dim() == 384
+
+
+def test_prepared_vectors_need_no_shuffle(spark):
+    """The vectors of a split are those of the long format, to the bit, and are made where the rows stand."""
+    texts = ["aa bb aa c", "", None, "x y z", " ".join(f"w{k % 37}" for k in range(500)), "é çà \U0001f600 \U0001f600\U0001f600 aa"]
+    rows = [(k, t, k % 2, ("train", "test")[k % 4 == 3]) for k, t in enumerate(texts * 4)]
+    p = Prepared(checkpoint(spark.createDataFrame(rows, "msg_id long, message_clean string, y int, split string").repartition(3)))
+    for split in ("train", "test"):
+        for element in ("float", "double"):
+            made = p.embedded(split, 24, element)
+            assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+            long = embedding.densify(p.hashed(split, 24), p.documents(split), 24, element=element)
+            assert made.schema["embedding"].dataType.elementType == long.schema["embedding"].dataType.elementType
+            assert sorted(made.collect()) == sorted(long.select(*made.columns).collect())
